@@ -232,3 +232,156 @@ def q_v11_join_renamed_key(spark, sf_dir):
         .withColumnRenamed("RIMNO", "RIM_NO")
     prime = prime_view(spark, sf_dir).select("o_orderkey", "RIMNO")
     return normalise_output(joins.merge_features(prime, feats, txn_key="RIM_NO"))
+
+
+# ---------------------------------------------------------------------------
+# Feature preparation
+# ---------------------------------------------------------------------------
+
+from cardlens.functions import drop_present  # noqa: E402
+from cardlens.operators import metrics as mt  # noqa: E402
+from cardlens.operators import prepare as pp  # noqa: E402
+from cardlens.operators import sampling as sp  # noqa: E402
+from cardlens.sources.adapters import score_view  # noqa: E402
+
+PREP_EXCLUDE = ["o_orderkey"]
+
+
+def prep_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot rows as loaded (retired columns removed, C4)."""
+    return drop_present(prime_view(spark, sf_dir), schemas.RETIRED_PRIME_COLS)
+
+
+def _fitted(spark, sf_dir):
+    df = prep_input(spark, sf_dir)
+    return df, pp.fit(df, exclude=PREP_EXCLUDE)
+
+
+@register("p3_impute_medians")
+def q_p3_impute_medians(spark, sf_dir):
+    _, art = _fitted(spark, sf_dir)
+    return normalise_output(art.stats_frame(spark).where("kind = 'numeric'").select("column_name", "median"))
+
+
+@register("p4_impute_modes")
+def q_p4_impute_modes(spark, sf_dir):
+    _, art = _fitted(spark, sf_dir)
+    return art.stats_frame(spark).where("kind = 'categorical'").select("column_name", "mode")
+
+
+@register("p5_label_encode")
+def q_p5_label_encode(spark, sf_dir):
+    _, art = _fitted(spark, sf_dir)
+    return normalise_output(art.label_map)
+
+
+@register("p6_scale_stats")
+def q_p6_scale_stats(spark, sf_dir):
+    _, art = _fitted(spark, sf_dir)
+    return normalise_output(art.stats_frame(spark).where("kind = 'numeric'").select("column_name", "mean", "std"))
+
+
+@register("p_fit_transform")
+def q_p_fit_transform(spark, sf_dir):
+    df, art = _fitted(spark, sf_dir)
+    return normalise_output(pp.transform(df, art, keep=["o_orderkey"]))
+
+
+@register("p10_p12_transform_unseen")
+def q_p10_p12_transform_unseen(spark, sf_dir):
+    """Fit on history files, transform the latest file: an unseen category
+    (-1), a missing feature (0 after scaling) and an extra column (dropped)."""
+    df = prep_input(spark, sf_dir)
+    latest = ch.latest_file(df)
+    art = pp.fit(df.where(F.col("source_file") != F.lit(latest)), exclude=PREP_EXCLUDE)
+    new = df.where(F.col("source_file") == F.lit(latest)).drop("TOTAL_HOLD") \
+        .withColumn("EXTRA_COL", F.lit(1.0))
+    return normalise_output(pp.transform(new, art, keep=["o_orderkey"]))
+
+
+@register("c13_non_finite")
+def q_c13_non_finite(spark, sf_dir):
+    df = prep_input(spark, sf_dir)
+    types = dict(df.dtypes)
+    nums = [c for c in pp.feature_columns(df, exclude=PREP_EXCLUDE) if types[c] == "double"]
+    return normalise_output(pp.non_finite_report(df, nums))
+
+
+# ---------------------------------------------------------------------------
+# Metrics (E1-E7, M11, M12) on scored rows
+# ---------------------------------------------------------------------------
+
+def _scored(spark, sf_dir):
+    return mt.predict_label(score_view(spark, sf_dir), proba="proba")
+
+
+@register("e1_e2_auc_ks")
+def q_e1_e2_auc_ks(spark, sf_dir):
+    return normalise_output(mt.ranking_metrics(score_view(spark, sf_dir)))
+
+
+@register("e3_roc_points")
+def q_e3_roc_points(spark, sf_dir):
+    return normalise_output(mt.roc_points(score_view(spark, sf_dir)))
+
+
+@register("e4_threshold_metrics")
+def q_e4_threshold_metrics(spark, sf_dir):
+    return normalise_output(mt.threshold_metrics(_scored(spark, sf_dir)))
+
+
+@register("e_evaluate")
+def q_e_evaluate(spark, sf_dir):
+    return normalise_output(mt.evaluate(score_view(spark, sf_dir)))
+
+
+@register("e5_confusion")
+def q_e5_confusion(spark, sf_dir):
+    return normalise_output(mt.confusion(_scored(spark, sf_dir)))
+
+
+@register("e6_class_report")
+def q_e6_class_report(spark, sf_dir):
+    return normalise_output(mt.class_report(_scored(spark, sf_dir)))
+
+
+@register("e7_class_distribution")
+def q_e7_class_distribution(spark, sf_dir):
+    return normalise_output(labels.class_balance(score_view(spark, sf_dir), target="y"))
+
+
+@register("m11_threshold")
+def q_m11_threshold(spark, sf_dir):
+    return normalise_output(_scored(spark, sf_dir).select("id", "predicted_label"))
+
+
+@register("m12_flag_summary")
+def q_m12_flag_summary(spark, sf_dir):
+    return normalise_output(mt.flag_summary(_scored(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Split (M1, M2)
+# ---------------------------------------------------------------------------
+
+def _labelled_rows(spark, sf_dir):
+    return labels.with_target(prime_view(spark, sf_dir)).select("o_orderkey", "RIMNO", "target")
+
+
+@register("m1_split")
+def q_m1_split(spark, sf_dir):
+    df = sp.train_test_split(_labelled_rows(spark, sf_dir), id_cols=["o_orderkey"])
+    return normalise_output(df.select("o_orderkey", "target", "is_test"))
+
+
+@register("m1_split_exact")
+def q_m1_split_exact(spark, sf_dir):
+    df = sp.train_test_split(_labelled_rows(spark, sf_dir), id_cols=["o_orderkey"], exact=True)
+    return normalise_output(df.select("o_orderkey", "target", "is_test"))
+
+
+@register("m2_split_summary")
+def q_m2_split_summary(spark, sf_dir):
+    df = sp.train_test_split(_labelled_rows(spark, sf_dir), id_cols=["o_orderkey"])
+    return normalise_output(sp.split_summary(df, n_features=len(pp.feature_columns(
+        prep_input(spark, sf_dir), exclude=PREP_EXCLUDE))))

@@ -57,7 +57,8 @@ prime_v AS (
          ELSE o.o_totalprice / CAST(100 AS DOUBLE) END AS MIN_PAYMENT,
     CASE WHEN o.o_orderkey % 6 = 0 THEN CAST(50 AS DOUBLE)
          WHEN o.o_orderkey % 6 = 1 THEN CAST(NULL AS DOUBLE)
-         ELSE CAST(0 AS DOUBLE) END AS OVER_LIMIT
+         ELSE CAST(0 AS DOUBLE) END AS OVER_LIMIT,
+    'GEN' || CAST(year(o.o_orderdate) - 1994 AS VARCHAR) AS CARD_PRODUCT
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
 
@@ -511,6 +512,225 @@ FROM prime_v p LEFT JOIN g ON p.RIMNO = g.RIM_NO
 """
 
 
+# ---------------------------------------------------------------------------
+# Feature preparation (P*)
+# ---------------------------------------------------------------------------
+
+PREP_NUMS = ["CREDIT_LIMIT", "DELINQUENCY", "JOINING_FEE", "ANNUAL_FEE", "LEDGER_BALANCE", "AVAILABLE_LIMIT",
+             "LAST_PAYMENT_AMOUNT", "TOTAL_HOLD", "OVERDUEAMOUNT", "NO_OF_CYCLES"]
+PREP_CATS = ["ACTIVATED", "GENDER", "CUSTOMER_TYPE", "CARD_PRODUCT"]
+PREP_ORDER = ["CREDIT_LIMIT", "ACTIVATED", "DELINQUENCY", "JOINING_FEE", "ANNUAL_FEE", "LEDGER_BALANCE",
+              "AVAILABLE_LIMIT", "LAST_PAYMENT_AMOUNT", "TOTAL_HOLD", "GENDER", "CUSTOMER_TYPE", "OVERDUEAMOUNT",
+              "NO_OF_CYCLES", "CARD_PRODUCT"]
+
+
+def _prep_fit_ctes(fit_where: str = "TRUE") -> str:
+    parts = [f"fit_rows AS (SELECT * FROM prime_v WHERE {fit_where})"]
+    parts.append("med AS (SELECT " + ", ".join(f"coalesce(median({c}), 0) AS {c}" for c in PREP_NUMS)
+                 + " FROM fit_rows)")
+    for c in PREP_CATS:
+        parts.append(f"mode_{c} AS (SELECT coalesce((SELECT {c} FROM fit_rows WHERE {c} IS NOT NULL "
+                     f"GROUP BY {c} ORDER BY count(*) DESC, {c} ASC LIMIT 1), 'UNKNOWN') AS v)")
+    imp_cols = [f"coalesce(f.{c}, med.{c}) AS {c}" for c in PREP_NUMS] + \
+               [f"coalesce(f.{c}, mode_{c}.v) AS {c}" for c in PREP_CATS]
+    parts.append("imp AS (SELECT " + ", ".join(imp_cols) + " FROM fit_rows f, med, "
+                 + ", ".join(f"mode_{c}" for c in PREP_CATS) + ")")
+    sd_cols = []
+    for c in PREP_NUMS:
+        sd_cols.append(f"avg({c}) AS m_{c}")
+        sd_cols.append(f"CASE WHEN stddev_pop({c}) IS NULL OR stddev_pop({c}) = 0 THEN 1 "
+                       f"ELSE stddev_pop({c}) END AS s_{c}")
+    parts.append("sd AS (SELECT " + ", ".join(sd_cols) + " FROM imp)")
+    for c in PREP_CATS:
+        parts.append(f"map_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS BIGINT) AS idx "
+                     f"FROM (SELECT DISTINCT {c} AS v FROM imp))")
+    return ",\n".join(parts)
+
+
+def _prep_transform_select(apply_where: str = "TRUE", missing: tuple[str, ...] = ()) -> str:
+    cols = ["CAST(a.o_orderkey AS BIGINT) AS o_orderkey"]
+    for c in PREP_ORDER:
+        if c in missing:
+            cols.append(f"round(CAST(0 AS DOUBLE), 4) AS {c}")
+        elif c in PREP_NUMS:
+            cols.append(f"round((coalesce(a.{c}, med.{c}) - sd.m_{c}) / sd.s_{c}, 4) AS {c}")
+        else:
+            cols.append(f"round(CAST(coalesce((SELECT idx FROM map_{c} WHERE v = coalesce(a.{c}, mode_{c}.v)), -1)"
+                        f" AS DOUBLE), 4) AS {c}")
+    return ("SELECT " + ", ".join(cols) + f" FROM (SELECT * FROM prime_v WHERE {apply_where}) a, med, sd, "
+            + ", ".join(f"mode_{c}" for c in PREP_CATS))
+
+
+ORACLE["p3_impute_medians"] = _with(PRIME_V, _prep_fit_ctes()) + "x AS (SELECT 1)\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(med.{c}, 4) AS median FROM med" for c in PREP_NUMS)
+
+ORACLE["p4_impute_modes"] = _with(PRIME_V, _prep_fit_ctes()) + "x AS (SELECT 1)\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, v AS mode FROM mode_{c}" for c in PREP_CATS)
+
+ORACLE["p5_label_encode"] = _with(PRIME_V, _prep_fit_ctes()) + "x AS (SELECT 1)\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, v AS value, idx AS index FROM map_{c}" for c in PREP_CATS)
+
+ORACLE["p6_scale_stats"] = _with(PRIME_V, _prep_fit_ctes()) + "x AS (SELECT 1)\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(m_{c}, 4) AS mean, round(s_{c}, 4) AS std FROM sd" for c in PREP_NUMS)
+
+ORACLE["p_fit_transform"] = _with(PRIME_V, _prep_fit_ctes()) + "x AS (SELECT 1)\n" + _prep_transform_select()
+
+_LATEST_FILE = "(SELECT max(source_file) FROM prime_v)"
+ORACLE["p10_p12_transform_unseen"] = (
+    _with(PRIME_V, _prep_fit_ctes(f"source_file <> {_LATEST_FILE}")) + "x AS (SELECT 1)\n"
+    + _prep_transform_select(f"source_file = {_LATEST_FILE}", missing=("TOTAL_HOLD",))
+)
+
+ORACLE["c13_non_finite"] = _with(PRIME_V) + "x AS (SELECT 1)\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL OR isnan({c}) OR isinf({c})) AS BIGINT) AS non_finite "
+    f"FROM prime_v" for c in PREP_NUMS)
+
+# ---------------------------------------------------------------------------
+# Metrics (E*, M11, M12)
+# ---------------------------------------------------------------------------
+
+_ROC = """
+g AS (SELECT proba AS s, count_if(y = 1) AS pos, count_if(y <> 1) AS neg FROM score_v GROUP BY proba),
+tot AS (SELECT CAST(sum(pos) AS DOUBLE) AS P, CAST(sum(neg) AS DOUBLE) AS N FROM g),
+c AS (
+  SELECT s, pos, neg,
+         sum(pos) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp,
+         sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn
+  FROM g
+),
+roc AS (
+  SELECT s AS threshold, pos, neg, cp, cn,
+         (tot.P - (cp - pos)) / tot.P AS tpr, (tot.N - (cn - neg)) / tot.N AS fpr
+  FROM c, tot
+)"""
+
+_PRED = """
+sc AS (SELECT id, y, proba, CAST(proba >= 0.5 AS INTEGER) AS predicted_label FROM score_v),
+cm AS (
+  SELECT CAST(count_if(y = 0 AND predicted_label = 0) AS DOUBLE) AS tn,
+         CAST(count_if(y = 0 AND predicted_label = 1) AS DOUBLE) AS fp,
+         CAST(count_if(y = 1 AND predicted_label = 0) AS DOUBLE) AS fn,
+         CAST(count_if(y = 1 AND predicted_label = 1) AS DOUBLE) AS tp
+  FROM sc
+)"""
+
+ORACLE["e1_e2_auc_ks"] = _with(SCORE_V, _ROC) + """
+x AS (SELECT 1)
+SELECT round(sum(roc.pos * (roc.cn - roc.neg / 2.0)) / (max(tot.P) * max(tot.N)), 4) AS AUC,
+       round(greatest(max(abs(roc.tpr - roc.fpr)), 0), 4) AS KS
+FROM roc, tot
+"""
+
+ORACLE["e3_roc_points"] = _with(SCORE_V, _ROC) + """
+x AS (SELECT 1)
+SELECT round(threshold, 4) AS threshold, round(fpr, 4) AS fpr, round(tpr, 4) AS tpr FROM roc
+"""
+
+_E4 = """round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 4) AS F1,
+       round(coalesce(tp / nullif(tp + fn, 0), 0), 4) AS Recall,
+       round(coalesce(tp / nullif(tp + fp, 0), 0), 4) AS Precision,
+       round(coalesce((tp + tn) / nullif(tp + tn + fp + fn, 0), 0), 4) AS Accuracy"""
+
+ORACLE["e4_threshold_metrics"] = _with(SCORE_V, _PRED) + f"""
+x AS (SELECT 1)
+SELECT {_E4} FROM cm
+"""
+
+ORACLE["e_evaluate"] = _with(SCORE_V, _ROC, _PRED) + f"""
+r AS (
+  SELECT sum(roc.pos * (roc.cn - roc.neg / 2.0)) / (max(tot.P) * max(tot.N)) AS auc,
+         greatest(max(abs(roc.tpr - roc.fpr)), 0) AS ks
+  FROM roc, tot
+)
+SELECT round(r.auc, 4) AS AUC, round(r.ks, 4) AS KS, {_E4} FROM r, cm
+"""
+
+ORACLE["e5_confusion"] = _with(SCORE_V, _PRED) + """
+x AS (SELECT 1)
+SELECT CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp FROM cm
+"""
+
+ORACLE["e6_class_report"] = _with(SCORE_V, _PRED) + """
+k AS (
+  SELECT tn, fp, fn, tp, tn + fp AS s0, tp + fn AS s1,
+         coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
+         coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1
+  FROM cm
+),
+f AS (
+  SELECT *, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0, coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1,
+         s0 + s1 AS total
+  FROM k
+)
+SELECT 'Non-default' AS label, round(p0, 4) AS precision, round(r0, 4) AS recall, round(f0, 4) AS f1_score,
+       CAST(s0 AS BIGINT) AS support FROM f
+UNION ALL SELECT 'Default', round(p1, 4), round(r1, 4), round(f1, 4), CAST(s1 AS BIGINT) FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(coalesce((tp + tn) / nullif(total, 0), 0), 4), CAST(total AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 4), round((r0 + r1) / 2, 4), round((f0 + f1) / 2, 4),
+       CAST(total AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(coalesce((p0 * s0 + p1 * s1) / nullif(total, 0), 0), 4),
+       round(coalesce((r0 * s0 + r1 * s1) / nullif(total, 0), 0), 4),
+       round(coalesce((f0 * s0 + f1 * s1) / nullif(total, 0), 0), 4), CAST(total AS BIGINT) FROM f
+"""
+
+ORACLE["e7_class_distribution"] = _with(SCORE_V) + """
+g AS (SELECT y, count(*) AS n_rows FROM score_v GROUP BY y)
+SELECT CAST(y AS BIGINT) AS y, CAST(n_rows AS BIGINT) AS n_rows,
+       round(CAST(n_rows AS DOUBLE) / sum(n_rows) OVER (), 4) AS share
+FROM g
+"""
+
+ORACLE["m11_threshold"] = _with(SCORE_V, _PRED) + """
+x AS (SELECT 1)
+SELECT CAST(id AS BIGINT) AS id, CAST(predicted_label AS BIGINT) AS predicted_label FROM sc
+"""
+
+ORACLE["m12_flag_summary"] = _with(SCORE_V, _PRED) + """
+x AS (SELECT 1)
+SELECT CAST(count_if(predicted_label = 1) AS BIGINT) AS flagged, CAST(count(*) AS BIGINT) AS total,
+       round(CAST(count_if(predicted_label = 1) AS DOUBLE) / count(*), 4) AS flagged_share
+FROM sc
+"""
+
+# ---------------------------------------------------------------------------
+# Split (M1, M2)
+# ---------------------------------------------------------------------------
+
+_LABELLED = f"""
+lab AS (
+  SELECT o_orderkey, RIMNO, {_TARGET} AS target FROM prime_v
+),
+lr AS (SELECT * FROM lab WHERE target IS NOT NULL),
+hs AS (
+  SELECT *, md5('42' || '|' || CAST(o_orderkey AS VARCHAR)) AS h FROM lr
+)"""
+
+ORACLE["m1_split"] = _with(PRIME_V, _LABELLED) + """
+x AS (SELECT 1)
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(target AS BIGINT) AS target,
+       CAST(substr(h, 1, 8) < '4ccccccd' AS BIGINT) AS is_test
+FROM hs
+"""
+
+ORACLE["m1_split_exact"] = _with(PRIME_V, _LABELLED) + """
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY target ORDER BY h || '|' || CAST(o_orderkey AS VARCHAR)) - 1 AS rk,
+         count(*) OVER (PARTITION BY target) AS n
+  FROM hs
+)
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(target AS BIGINT) AS target,
+       CAST(rk < floor(0.3 * n + 0.5) AS BIGINT) AS is_test
+FROM r
+"""
+
+ORACLE["m2_split_summary"] = _with(PRIME_V, _LABELLED) + """
+s AS (SELECT CAST(substr(h, 1, 8) < '4ccccccd' AS BIGINT) AS is_test, target FROM hs)
+SELECT is_test, CAST(count(*) AS BIGINT) AS n_rows, round(avg(CAST(target AS DOUBLE)), 4) AS default_rate,
+       CAST(14 AS BIGINT) AS n_features
+FROM s GROUP BY is_test
+"""
+
+
 def _stable_round(sql: str, digits: int = 4) -> str:
     """``round(X, 4)`` -> ``(round((X) + 1e-9, 4) + 0.0)``: the same half-way
     nudge and signed-zero removal the Spark side applies, so last-bit

@@ -87,6 +87,7 @@ def prime_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 9 == 0, F.lit(0.0)).otherwise(price / 100.0).alias("MIN_PAYMENT"),
         F.when(k % 6 == 0, F.lit(50.0)).when(k % 6 == 1, F.lit(None).cast("double"))
         .otherwise(F.lit(0.0)).alias("OVER_LIMIT"),
+        F.concat(F.lit("GEN"), (F.year(day) - 1994).cast("string")).alias("CARD_PRODUCT"),
     )
 
 
