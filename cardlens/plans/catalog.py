@@ -385,3 +385,63 @@ def q_m2_split_summary(spark, sf_dir):
     df = sp.train_test_split(_labelled_rows(spark, sf_dir), id_cols=["o_orderkey"])
     return normalise_output(sp.split_summary(df, n_features=len(pp.feature_columns(
         prep_input(spark, sf_dir), exclude=PREP_EXCLUDE))))
+
+
+# ---------------------------------------------------------------------------
+# Nearest neighbours (M4)
+# ---------------------------------------------------------------------------
+
+from cardlens.operators import neighbours as nb  # noqa: E402
+
+
+@register("m4_knn")
+def q_m4_knn(spark, sf_dir):
+    """Exact 5 nearest neighbours of every embedding inside its label."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    return normalise_output(nb.knn(emb, "vec_id", "embedding", group_col="label", k=schemas.SMOTE_K_NEIGHBORS))
+
+
+# ---------------------------------------------------------------------------
+# Oversampling, boosting, pipelines
+# ---------------------------------------------------------------------------
+
+from cardlens.operators import boosting as bt  # noqa: E402
+from cardlens.plans import training as tr  # noqa: E402
+
+
+def _prepared_split(spark, sf_dir):
+    """Labelled snapshot rows, prepared (fit on all rows) and hash-split."""
+    df = labels.with_target(prep_input(spark, sf_dir))
+    df = sp.train_test_split(df, id_cols=["o_orderkey"])
+    art = pp.fit(df, exclude=PREP_EXCLUDE + ["is_test"])
+    prepared = pp.transform(df, art, keep=["o_orderkey", "target", "is_test"])
+    return prepared, art
+
+
+@register("m3_smote_class_counts")
+def q_m3_smote_class_counts(spark, sf_dir):
+    """Training part after oversampling: both classes at the majority size."""
+    prepared, art = _prepared_split(spark, sf_dir)
+    train = prepared.where("is_test = 0").drop("is_test")
+    res = sp.smote(train, art.feature_order, "o_orderkey")
+    return normalise_output(res.groupBy("target").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@register("m5_m10_train_score")
+def q_m5_m10_train_score(spark, sf_dir):
+    """Oversample, fit boosted trees with early stopping on the test part,
+    score the test part (no SQL twin: model internals)."""
+    prepared, art = _prepared_split(spark, sf_dir)
+    train = prepared.where("is_test = 0").drop("is_test")
+    test = prepared.where("is_test = 1").drop("is_test")
+    model = bt.train(sp.smote(train, art.feature_order, "o_orderkey"), art.feature_order,
+                     valid_df=test, max_iter=20, patience=5)
+    return normalise_output(model.score(test, keep=["o_orderkey", "target"]))
+
+
+@register("pipeline_train_evaluate")
+def q_pipeline_train_evaluate(spark, sf_dir):
+    """End-to-end training pipeline on the wide frame; the hold-out metrics."""
+    res = tr.run_training(prime_view(spark, sf_dir), txn_view(spark, sf_dir), AS_OF,
+                          id_cols=["o_orderkey"], max_iter=20)
+    return normalise_output(res.metrics)

@@ -731,6 +731,26 @@ FROM s GROUP BY is_test
 """
 
 
+ORACLE["m4_knn"] = """
+WITH p AS (
+  SELECT a.vec_id, b.vec_id AS neighbour_id,
+         list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS distance
+  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour_id) AS rank FROM p)
+SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(neighbour_id AS BIGINT) AS neighbour_id,
+       CAST(rank AS BIGINT) AS rank, round(distance, 4) AS distance
+FROM r WHERE rank <= 5
+"""
+
+
+ORACLE["m3_smote_class_counts"] = _with(PRIME_V, _LABELLED) + """
+s AS (SELECT target FROM hs WHERE substr(h, 1, 8) >= '4ccccccd'),
+g AS (SELECT target, count(*) AS n FROM s GROUP BY target)
+SELECT CAST(target AS BIGINT) AS target, CAST(max(n) OVER () AS BIGINT) AS n_rows FROM g
+"""
+
+
 def _stable_round(sql: str, digits: int = 4) -> str:
     """``round(X, 4)`` -> ``(round((X) + 1e-9, 4) + 0.0)``: the same half-way
     nudge and signed-zero removal the Spark side applies, so last-bit
