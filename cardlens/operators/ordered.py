@@ -27,6 +27,12 @@ from pyspark.sql import types as T
 
 _BUCKET = "_rt_bucket"
 
+# Size check for the single-task paths: a group whose distinct keys are
+# proven to be at most this many may be ordered in one task (window) or
+# kept as one aggregate's value map (``percentile``); anything larger goes
+# through the range-bucketed path.
+SMALL_DISTINCT = 200_000
+
 
 def _default_buckets(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
@@ -57,6 +63,11 @@ def running_totals(df: DataFrame, order_col: str, weight_cols: Sequence[str],
     by = list(by)
     spark = df.sparkSession
     n_buckets = n_buckets or _default_buckets(df)
+    if n_buckets == 1:
+        # caller proved each group small: one window per group, no offsets
+        w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))) \
+            .orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in weight_cols])
     dtype = df.schema[order_col].dataType
     keyed = df.withColumn("_rt_key", _sortable_number(F.col(order_col), dtype))
 
@@ -125,9 +136,23 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = long.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_n")).persist()
     try:
-        sizes = {r["_col"]: int(r["n"]) for r in counts.groupBy("_col").agg(F.sum("_n").alias("n")).collect()}
+        meta = counts.groupBy("_col").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+        sizes = {r["_col"]: int(r["n"]) for r in meta}
+        distinct = {r["_col"]: int(r["d"]) for r in meta}
+        small = [c for c in cols if 0 < distinct.get(c, 0) <= SMALL_DISTINCT]
+        out: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in cols}
+        if small:
+            # proven small value maps: exact weighted percentile in one aggregate
+            rows = counts.where(F.col("_col").isin(small)).groupBy("_col").agg(
+                F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]), F.col("_n")).alias("q")
+            ).collect()
+            for r in rows:
+                out[r["_col"]] = {p: float(v) for p, v in zip(probs, r["q"])}
+        large = [c for c in cols if distinct.get(c, 0) > SMALL_DISTINCT]
+        if not large:
+            return out
         wanted: list[tuple[str, int]] = []
-        for c in cols:
+        for c in large:
             n = sizes.get(c, 0)
             for p in probs:
                 if n == 0:
@@ -138,7 +163,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 wanted.append((c, min(lo + 1, n - 1)))
         values: dict[tuple[str, int], float] = {}
         if wanted:
-            ranked = running_totals(counts, "_v", ["_n"], by=["_col"], n_buckets=n_buckets)
+            ranked = running_totals(counts.where(F.col("_col").isin(large)), "_v", ["_n"], by=["_col"],
+                                    n_buckets=n_buckets)
             targets = spark.createDataFrame(sorted(set(wanted)), "_col string, _r long")
             hit = ranked.join(
                 F.broadcast(targets),
@@ -150,8 +176,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     finally:
         counts.unpersist()
 
-    out: dict[str, dict[float, float | None]] = {}
-    for c in cols:
+    for c in large:
         n = sizes.get(c, 0)
         out[c] = {}
         for p in probs:
@@ -174,9 +199,14 @@ def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
 
 
 def dense_index(df: DataFrame, value_col: str, by: Sequence[str] = (),
-                n_buckets: int | None = None, out_col: str = "index") -> DataFrame:
+                n_buckets: int | None = None, out_col: str = "index",
+                max_group_rows: int | None = None) -> DataFrame:
     """0-based position of each distinct value in ascending order within ``by``
-    (sorted label encoding).  Input must be distinct on ``by + value_col``."""
+    (sorted label encoding).  Input must be distinct on ``by + value_col``.
+    ``max_group_rows``: a proven bound on rows per group; when it is at most
+    ``SMALL_DISTINCT`` one window per group is used."""
+    if max_group_rows is not None and max_group_rows <= SMALL_DISTINCT:
+        n_buckets = 1
     ones = df.withColumn("_one", F.lit(1).cast("long"))
     ranked = running_totals(ones, value_col, ["_one"], by=by, n_buckets=n_buckets)
     return ranked.withColumn(out_col, F.col("cum__one") - 1).drop("_one", "cum__one")
