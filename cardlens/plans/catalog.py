@@ -445,3 +445,102 @@ def q_pipeline_train_evaluate(spark, sf_dir):
     res = tr.run_training(prime_view(spark, sf_dir), txn_view(spark, sf_dir), AS_OF,
                           id_cols=["o_orderkey"], max_iter=20)
     return normalise_output(res.metrics)
+
+
+# ---------------------------------------------------------------------------
+# File sources and sinks (S1-S6, U1, K1-K3): round trips through raw files
+# written from the given tables into the shared checkpoint folder
+# ---------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from cardlens.operators import sinks as sk  # noqa: E402
+from cardlens.session import scratch_path  # noqa: E402
+from cardlens.sources import files as fl  # noqa: E402
+from cardlens.functions import days_between, as_of_literal  # noqa: E402
+
+
+def _fresh(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def write_raw_prime(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Monthly-file layout of the bank extract: text amounts with thousands
+    separators, raw ``RIM_NO`` key, Latin-1 text, and older files (before
+    1998) without the ``TOTAL_HOLD`` column."""
+    p = prime_view(spark, sf_dir)
+    fmt = {
+        "RIM_NO": F.format_number("RIMNO", 2),
+        "CREDIT_LIMIT": F.format_number("CREDIT_LIMIT", 2),
+        "OVERDUEAMOUNT": F.format_number("OVERDUEAMOUNT", 4),
+        "CREATION_DATE": F.date_format("CREATION_DATE", "yyyy-MM-dd"),
+        "LAST_PAYMENT_DATE": F.date_format("LAST_PAYMENT_DATE", "dd/MM/yyyy"),
+        "ORGANIZATION": F.concat(F.lit("Société "), F.col("ORGANIZATION")),
+    }
+    cols = ["o_orderkey", "RIM_NO", "source_file", "STATUS", "ACTIVATED", "CREDIT_LIMIT", "OVERDUEAMOUNT",
+            "CREATION_DATE", "LAST_PAYMENT_DATE", "ORGANIZATION", "TOTAL_HOLD", "MIN_PAYMENT"]
+    raw = p.withColumns(fmt).select(*cols)
+    w = lambda df: df.write.mode("append").option("header", True).option("encoding", fl.LATIN) \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
+        .partitionBy("source_file").csv(root)
+    w(raw.where(F.col("source_file") < F.lit("prime_1998.csv")).drop("TOTAL_HOLD"))
+    w(raw.where(F.col("source_file") >= F.lit("prime_1998.csv")))
+
+
+@register("s1_prime_csv_load")
+def q_s1_prime_csv_load(spark, sf_dir):
+    """Load ragged monthly CSVs back into typed rows."""
+    root = _fresh(spark, "prime-csv")
+    write_raw_prime(spark, sf_dir, root)
+    df = fl.load_prime(spark, root, date_formats=["yyyy-MM-dd", "dd/MM/yyyy"])
+    now = as_of_literal(AS_OF)
+    return normalise_output(df.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "RIMNO", "source_file", "STATUS", "CREDIT_LIMIT",
+        "OVERDUEAMOUNT", "TOTAL_HOLD", "ORGANIZATION",
+        days_between(now, F.col("CREATION_DATE")).alias("days_created"),
+        days_between(now, F.col("LAST_PAYMENT_DATE")).alias("days_paid"),
+        F.lit("MIN_PAYMENT" in df.columns).cast("int").alias("has_retired_col")))
+
+
+@register("s5_s6_churn_from_csv")
+def q_s5_s6_churn_from_csv(spark, sf_dir):
+    """S5 + S6 + H1: all-text scan of the monthly files, latest file by name."""
+    root = _fresh(spark, "prime-csv")
+    write_raw_prime(spark, sf_dir, root)
+    text = fl.read_text_table(spark, root)
+    text = text.withColumnRenamed("RIM_NO", "RIMNO")   # C3
+    labelled, _ = ch.churn_latest_vs_history(text)
+    return normalise_output(labelled.select("RIMNO", "o_orderkey", "source_file", "STATUS", "CHURN"))
+
+
+@register("s4_txn_csv_features")
+def q_s4_txn_csv_features(spark, sf_dir):
+    """Transaction CSVs with raw headers -> canonical frame -> T1-T11."""
+    root = _fresh(spark, "txn-csv")
+    raw = txn_view(spark, sf_dir).select(
+        F.col("RIMNO"), F.col("billing_amt").alias("BILLING AMT"), F.col("orig_amount").alias("ORIG AMOUNT"),
+        F.col("settlement_amt").alias("SETTLEMENT AMT"), F.col("ccy").alias("CCY"), F.col("mcc").alias("MCC"),
+        F.col("merch_id").alias("MERCH ID"), F.col("reversal_flag").alias("REVERSAL FLAG"),
+        F.date_format("trxn_date", "yyyy-MM-dd HH:mm:ss").alias("TRXN DATE"),
+        F.date_format("post_date", "yyyy-MM-dd HH:mm:ss").alias("POST DATE"))
+    raw.write.mode("overwrite").option("header", True).csv(root)
+    txn = fl.load_transactions(spark, root)
+    return normalise_output(tf.transaction_features(txn, as_of=AS_OF))
+
+
+@register("k1_scores_csv")
+def q_k1_scores_csv(spark, sf_dir):
+    """K1 + K3: write scores as CSV (and per-file folders), read them back."""
+    root = _fresh(spark, "scores")
+    scored = mt.predict_label(score_view(spark, sf_dir).withColumnRenamed("proba", "default_probability")
+                              .withColumnRenamed("id", "RIMNO"))
+    sk.write_scores(scored, root + "/flat")
+    sk.write_per_file(churn_view(spark, sf_dir), root + "/per_file")
+    back = spark.read.option("header", True).schema(schemas.SCORES_SCHEMA).csv(root + "/flat")
+    per_file = spark.read.option("header", True).csv(root + "/per_file") \
+        .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_in_file"))
+    flat = back.agg(F.count(F.lit(1)).alias("n_scores"), F.sum("predicted_label").alias("n_flagged"),
+                    F.sum("default_probability").alias("sum_probability"))
+    # the three totals are one row of scalars
+    totals = flat.first().asDict()
+    return normalise_output(per_file.withColumns({c: F.lit(v) for c, v in totals.items()}))

@@ -751,6 +751,33 @@ SELECT CAST(target AS BIGINT) AS target, CAST(max(n) OVER () AS BIGINT) AS n_row
 """
 
 
+ORACLE["s1_prime_csv_load"] = _with(PRIME_V) + f"""
+x AS (SELECT 1)
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(RIMNO AS BIGINT) AS RIMNO, source_file, STATUS,
+       round(CREDIT_LIMIT, 4) AS CREDIT_LIMIT, round(OVERDUEAMOUNT, 4) AS OVERDUEAMOUNT,
+       round(CASE WHEN source_file < 'prime_1998.csv' THEN NULL ELSE TOTAL_HOLD END, 4) AS TOTAL_HOLD,
+       'Société ' || ORGANIZATION AS ORGANIZATION,
+       CAST(datediff('day', CREATION_DATE, {AS_OF}) AS BIGINT) AS days_created,
+       CAST(datediff('day', LAST_PAYMENT_DATE, {AS_OF}) AS BIGINT) AS days_paid,
+       CAST(0 AS BIGINT) AS has_retired_col
+FROM prime_v
+"""
+
+ORACLE["s5_s6_churn_from_csv"] = ORACLE["h1_churn_latest"].replace(
+    "SELECT regexp_replace(trim(CAST(RIMNO AS VARCHAR)), ',', '', 'g') AS RIMNO,",
+    "SELECT CAST(RIMNO AS VARCHAR) || '.00' AS RIMNO,")
+
+ORACLE["s4_txn_csv_features"] = ORACLE["t_txn_features"]
+
+ORACLE["k1_scores_csv"] = _with(SCORE_V, CHURN_V) + """
+t AS (SELECT CAST(count(*) AS BIGINT) AS n_scores, CAST(count_if(proba >= 0.5) AS BIGINT) AS n_flagged,
+             sum(proba) AS sum_probability FROM score_v)
+SELECT f.source_file, CAST(count(*) AS BIGINT) AS rows_in_file, max(t.n_scores) AS n_scores,
+       max(t.n_flagged) AS n_flagged, round(max(t.sum_probability), 4) AS sum_probability
+FROM churn_v f, t GROUP BY f.source_file
+"""
+
+
 def _stable_round(sql: str, digits: int = 4) -> str:
     """``round(X, 4)`` -> ``(round((X) + 1e-9, 4) + 0.0)``: the same half-way
     nudge and signed-zero removal the Spark side applies, so last-bit

@@ -48,7 +48,9 @@ def _na_to_null(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
 def read_text_table(spark: SparkSession, path: str, encoding: str = LATIN,
                     na_tokens: Sequence[str] = schemas.NA_TOKENS, suffix: str = ".csv") -> DataFrame:
     """Every file of a folder, all columns as text, union by name,
-    ``source_file`` = base name of the file each row came from."""
+    ``source_file`` = base name of the file each row came from, unless the
+    folder is laid out as ``source_file=<name>/`` partitions (as Spark's
+    ``partitionBy`` writes it), in which case the partition value is used."""
     files = list_files(spark, path, suffix)
     groups: dict[tuple[str, ...], list[str]] = {}
     for f in files:
@@ -58,8 +60,11 @@ def read_text_table(spark: SparkSession, path: str, encoding: str = LATIN,
     for cols, fs in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
         df = (spark.read.schema(schema).option("header", True).option("encoding", encoding)
-              .option("mode", "PERMISSIVE").csv(fs)
-              .withColumn(schemas.SOURCE_FILE_COL, F.col("_metadata.file_name")))
+              .option("mode", "PERMISSIVE").option("basePath", path).csv(fs))
+        if schemas.SOURCE_FILE_COL in df.columns:
+            df = df.withColumn(schemas.SOURCE_FILE_COL, F.col(schemas.SOURCE_FILE_COL).cast("string"))
+        else:
+            df = df.withColumn(schemas.SOURCE_FILE_COL, F.col("_metadata.file_name"))
         frames.append(df)
     out = frames[0]
     for df in frames[1:]:
