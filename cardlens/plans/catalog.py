@@ -544,3 +544,55 @@ def q_k1_scores_csv(spark, sf_dir):
     # the three totals are one row of scalars
     totals = flat.first().asDict()
     return normalise_output(per_file.withColumns({c: F.lit(v) for c, v in totals.items()}))
+
+
+# ---------------------------------------------------------------------------
+# Streaming (per-file churn as files land) and the remaining ML compositions
+# ---------------------------------------------------------------------------
+
+from cardlens.streaming import files as st  # noqa: E402
+
+
+@register("h3_churn_stream")
+def q_h3_churn_stream(spark, sf_dir):
+    """H3 through Structured Streaming: the per-day status files land in a
+    folder (``source_file=<day>/``, one file per day), each micro-batch is
+    labelled and written idempotently, and the output table is read back."""
+    root = _fresh(spark, "stream")
+    landing, out = root + "/landing", root + "/out"
+    cv = churn_view(spark, sf_dir)
+    # hash-partition by day: every day's rows land in exactly one file
+    cv.repartition("source_file").write.option("header", True) \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
+        .partitionBy("source_file").csv(landing)
+    q = st.per_file_churn_stream(spark, landing, out, ["event_id", "RIM_NO", "STATUS"],
+                                 checkpoint=root + "/ckpt")
+    q.awaitTermination()
+    res = spark.read.parquet(out)
+    return normalise_output(res.select(
+        F.col("event_id").cast("bigint").alias("event_id"), "source_file", "RIM_NO", "STATUS", "CHURN"))
+
+
+@register("m7_m8_tune")
+def q_m7_m8_tune(spark, sf_dir):
+    """Random search (20 draws x 3 folds, oversampling inside each fold) on
+    the training part; the per-fold AUC table (no SQL twin)."""
+    prepared, art = _prepared_split(spark, sf_dir)
+    train = prepared.where("is_test = 0").drop("is_test")
+    _, table = bt.tune(train, art.feature_order, "o_orderkey", max_iter=20)
+    return normalise_output(table)
+
+
+@register("pipeline_score_latest")
+def q_pipeline_score_latest(spark, sf_dir):
+    """Train on the history files, save model + artifacts, load them and
+    score the latest file (M9, M10, M11, K1, K5; no SQL twin)."""
+    root = _fresh(spark, "model")
+    prime = prime_view(spark, sf_dir)
+    latest = ch.latest_file(prime)
+    txn = txn_view(spark, sf_dir)
+    tr.run_training(prime.where(F.col("source_file") != F.lit(latest)), txn, AS_OF,
+                    id_cols=["o_orderkey"], out_dir=root, max_iter=20)
+    scores, _ = tr.run_scoring(prime.where(F.col("source_file") == F.lit(latest)), txn, AS_OF,
+                               model_dir=root + "/model", out_path=root + "/latest_scores")
+    return normalise_output(scores)

@@ -778,6 +778,9 @@ FROM churn_v f, t GROUP BY f.source_file
 """
 
 
+ORACLE["h3_churn_stream"] = ORACLE["h3_churn_per_file"]
+
+
 def _stable_round(sql: str, digits: int = 4) -> str:
     """``round(X, 4)`` -> ``(round((X) + 1e-9, 4) + 0.0)``: the same half-way
     nudge and signed-zero removal the Spark side applies, so last-bit

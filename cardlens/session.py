@@ -62,9 +62,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
+    """Reliable checkpoint into the shared folder (never a local checkpoint).
+
+    The frame is persisted first so the checkpoint write reuses the rows the
+    action computed instead of running the whole plan a second time.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
