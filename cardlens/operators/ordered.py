@@ -47,15 +47,15 @@ def _sortable_number(c, dtype: T.DataType):
         padded = F.concat(head, F.unhex(F.lit("000000000000")))
         return F.conv(F.hex(F.substring(padded, 1, 6)), 16, 10).cast("double")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        # wall-clock micros since 1970: monotone, no time-zone folds
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz")).cast("double")
+        # wall-clock micros since 1970: monotone, no time-zone conversion
+        from cardlens.functions.dates import wall_clock_micros
+        return wall_clock_micros(c).cast("double")
     return c.cast("double")
 
 
 def running_totals(df: DataFrame, order_col: str, weight_cols: Sequence[str],
                    by: Sequence[str] = (), n_buckets: int | None = None,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", cuts: DataFrame | None = None) -> DataFrame:
     """Add ``cum_<w>`` = inclusive running sum of ``w`` in ascending ``order_col``
     order within each ``by`` group.  ``order_col`` must be unique per group
     (aggregate first); NULL keys are not allowed.
@@ -72,13 +72,16 @@ def running_totals(df: DataFrame, order_col: str, weight_cols: Sequence[str],
     keyed = df.withColumn("_rt_key", _sortable_number(F.col(order_col), dtype))
 
     if n_buckets > 1:
-        fracs = [i / n_buckets for i in range(1, n_buckets)]
-        cut = keyed.groupBy(*by).agg(
-            F.percentile_approx("_rt_key", fracs, 10_000).alias("_rt_cuts")
-        )
-        # Cut points are fixed as constants (size: groups x n_buckets), so
-        # every branch below sees the same ranges, even after a retry.
-        rows = cut.collect()
+        if cuts is None:
+            fracs = [i / n_buckets for i in range(1, n_buckets)]
+            cut = keyed.groupBy(*by).agg(
+                F.percentile_approx("_rt_key", fracs, 10_000).alias("_rt_cuts")
+            )
+            # Cut points are fixed as constants (size: groups x n_buckets), so
+            # every branch below sees the same ranges, even after a retry.
+            rows = cut.collect()
+        else:
+            rows = cuts
         if by:
             schema = T.StructType(
                 [df.schema[c] for c in by]
@@ -136,7 +139,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = long.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_n")).persist()
     try:
-        meta = counts.groupBy("_col").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+        nb = n_buckets or _default_buckets(df)
+        fracs = [i / nb for i in range(1, nb)]
+        # one pass: sizes, distinct counts and range cut points for the large path
+        meta = counts.groupBy("_col").agg(
+            F.sum("_n").alias("n"), F.count(F.lit(1)).alias("d"),
+            F.percentile_approx("_v", fracs, 10_000).alias("_rt_cuts")).collect()
         sizes = {r["_col"]: int(r["n"]) for r in meta}
         distinct = {r["_col"]: int(r["d"]) for r in meta}
         small = [c for c in cols if 0 < distinct.get(c, 0) <= SMALL_DISTINCT]
@@ -164,7 +172,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         values: dict[tuple[str, int], float] = {}
         if wanted:
             ranked = running_totals(counts.where(F.col("_col").isin(large)), "_v", ["_n"], by=["_col"],
-                                    n_buckets=n_buckets)
+                                    n_buckets=nb, cuts=[(r["_col"], r["_rt_cuts"]) for r in meta
+                                                        if r["_col"] in large])
             targets = spark.createDataFrame(sorted(set(wanted)), "_col string, _r long")
             hit = ranked.join(
                 F.broadcast(targets),

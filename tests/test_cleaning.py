@@ -40,3 +40,19 @@ def test_parse_timestamp(spark):
     df = _one_col(spark, ["2024-03-01", "31/12/2024", "garbage", None, "2024-03-01 10:20:30"])
     got = [r[0] for r in df.select(F.date_format(parse_timestamp("x"), "yyyy-MM-dd HH:mm:ss")).collect()]
     assert got == ["2024-03-01 00:00:00", "2024-12-31 00:00:00", None, None, "2024-03-01 10:20:30"]
+
+
+def test_days_between_floor_and_timezone(spark):
+    import datetime as dt
+    from cardlens.functions import as_of_literal, days_between
+    rows = [(dt.datetime(2024, 1, 1, 12, 0), ), (dt.datetime(2024, 1, 31, 0, 0),), (dt.datetime(2024, 2, 1, 6, 0),),
+            (dt.datetime(2023, 6, 15, 0, 0),), (None,)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = [r[0] for r in df.select(days_between(as_of_literal("2024-01-31"), "t")).collect()]
+            assert got == [29, 0, -2, 230, None], tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
