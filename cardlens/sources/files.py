@@ -5,13 +5,14 @@ header positionally onto one schema.  So files are grouped by header: one
 multi-file scan per distinct header (usually one), unioned by column name
 with missing columns as NULL (``unionByName(allowMissingColumns=True)``).
 Listing uses ``DataFrame.inputFiles()`` (metadata only); reading a header
-is a one-line job per file.  Everything else - NA tokens, number and date
+is a one-line job per file, run concurrently in a bounded thread pool.  Everything else - NA tokens, number and date
 parsing - is a projection over the scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +53,16 @@ def read_text_table(spark: SparkSession, path: str, encoding: str = LATIN,
     folder is laid out as ``source_file=<name>/`` partitions (as Spark's
     ``partitionBy`` writes it), in which case the partition value is used."""
     files = list_files(spark, path, suffix)
+
+    def header(f: str) -> tuple[str, ...]:
+        # reads only the first line of the file
+        return tuple(spark.read.option("header", True).option("encoding", encoding).csv(f).columns)
+
+    # header reads are tiny independent jobs: run them concurrently (bounded)
+    with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
+        headers = list(pool.map(header, files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        cols = tuple(spark.read.option("header", True).option("encoding", encoding).csv(f).columns)
+    for f, cols in zip(files, headers):
         groups.setdefault(cols, []).append(f)
     frames = []
     for cols, fs in groups.items():
