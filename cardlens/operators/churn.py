@@ -132,3 +132,22 @@ def churn_per_file(df: DataFrame, statuses: Sequence[str] = schemas.CHURN_STATUS
 def churn_customers_per_file(flags: DataFrame, file_col: str = schemas.SOURCE_FILE_COL) -> DataFrame:
     """H5: distinct customers per (file, CHURN) from the per-(file, id) flags."""
     return flags.groupBy(file_col, schemas.CHURN_COL).agg(F.count(F.lit(1)).alias("unique_customers"))
+
+
+# ---------------------------------------------------------------------------
+# Customer-id set operations (U2-U4, J4, J5) as plain joins
+# ---------------------------------------------------------------------------
+
+def id_set(df: DataFrame, id_col: str = schemas.CUSTOMER_ID) -> DataFrame:
+    """Distinct non-NULL customer ids (a shuffle on the id, map-side dedup)."""
+    return df.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+
+
+def ids_in_both(history: DataFrame, latest: DataFrame, id_col: str = schemas.CUSTOMER_ID) -> DataFrame:
+    """Ids of ``history`` that also occur in ``latest`` (left semi join)."""
+    return id_set(history, id_col).join(id_set(latest, id_col), on=id_col, how="left_semi")
+
+
+def ids_missing(history: DataFrame, latest: DataFrame, id_col: str = schemas.CUSTOMER_ID) -> DataFrame:
+    """Ids of ``history`` absent from ``latest`` (left anti join)."""
+    return id_set(history, id_col).join(id_set(latest, id_col), on=id_col, how="left_anti")

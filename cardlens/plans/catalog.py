@@ -596,3 +596,16 @@ def q_pipeline_score_latest(spark, sf_dir):
     scores, _ = tr.run_scoring(prime.where(F.col("source_file") == F.lit(latest)), txn, AS_OF,
                                model_dir=root + "/model", out_path=root + "/latest_scores")
     return normalise_output(scores)
+
+
+@register("u2_u4_id_sets")
+def q_u2_u4_id_sets(spark, sf_dir):
+    """History ids split into 'in both' (semi join) and
+    'missing from latest' (anti join)."""
+    prime = prime_view(spark, sf_dir).select(F.col("RIMNO").cast("string").alias("RIMNO"), "source_file")
+    latest = ch.latest_file(prime)
+    hist = prime.where(F.col("source_file") != F.lit(latest))
+    last = prime.where(F.col("source_file") == F.lit(latest))
+    both = ch.ids_in_both(hist, last).withColumn("membership", F.lit("in_both"))
+    gone = ch.ids_missing(hist, last).withColumn("membership", F.lit("missing_from_latest"))
+    return both.unionByName(gone)

@@ -781,6 +781,17 @@ FROM churn_v f, t GROUP BY f.source_file
 ORACLE["h3_churn_stream"] = ORACLE["h3_churn_per_file"]
 
 
+ORACLE["u2_u4_id_sets"] = _with(PRIME_V) + """
+p AS (SELECT CAST(RIMNO AS VARCHAR) AS RIMNO, source_file FROM prime_v),
+l AS (SELECT max(source_file) AS f FROM p),
+h AS (SELECT DISTINCT RIMNO FROM p, l WHERE source_file <> l.f AND RIMNO IS NOT NULL),
+t AS (SELECT DISTINCT RIMNO FROM p, l WHERE source_file = l.f AND RIMNO IS NOT NULL)
+SELECT RIMNO, 'in_both' AS membership FROM h WHERE RIMNO IN (SELECT RIMNO FROM t)
+UNION ALL
+SELECT RIMNO, 'missing_from_latest' FROM h WHERE RIMNO NOT IN (SELECT RIMNO FROM t)
+"""
+
+
 def _stable_round(sql: str, digits: int = 4) -> str:
     """``round(X, 4)`` -> ``(round((X) + 1e-9, 4) + 0.0)``: the same half-way
     nudge and signed-zero removal the Spark side applies, so last-bit
