@@ -21,6 +21,7 @@ from cardlens.operators import churn as ch
 from cardlens.operators import joins, labels
 from cardlens.operators import txn_features as tf
 from cardlens.sources.adapters import AS_OF, churn_view, prime_view, read_table, txn_view
+from cardlens.session import checkpoint
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
@@ -414,7 +415,8 @@ def _prepared_split(spark, sf_dir):
     df = labels.with_target(prep_input(spark, sf_dir))
     df = sp.train_test_split(df, id_cols=["o_orderkey"])
     art = pp.fit(df, exclude=PREP_EXCLUDE + ["is_test"])
-    prepared = pp.transform(df, art, keep=["o_orderkey", "target", "is_test"])
+    # lineage cut: the oversampler, the validation curve and the scoring read it
+    prepared = checkpoint(pp.transform(df, art, keep=["o_orderkey", "target", "is_test"]))
     return prepared, art
 
 
