@@ -15,6 +15,10 @@ cannot hold a high-cardinality column.  Instead:
    range its offset, broadcast back on the range id.
 
 The cut points only steer balance; the result is exact whatever they are.
+
+``exact_quantiles`` needs single ranks, not running sums: it sizes every range
+with one aggregate, finds the range and local rank of each wanted rank on the
+driver (from that small table) and orders only those ranges.
 """
 
 from __future__ import annotations
@@ -159,29 +163,17 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         large = [c for c in cols if distinct.get(c, 0) > SMALL_DISTINCT]
         if not large:
             return out
-        wanted: list[tuple[str, int]] = []
+        wanted: dict[str, set[int]] = {}
         for c in large:
             n = sizes.get(c, 0)
             for p in probs:
                 if n == 0:
                     continue
-                h = p * (n - 1)
-                lo = int(h // 1)
-                wanted.append((c, lo))
-                wanted.append((c, min(lo + 1, n - 1)))
+                lo = int((p * (n - 1)) // 1)
+                wanted.setdefault(c, set()).update({lo, min(lo + 1, n - 1)})
         values: dict[tuple[str, int], float] = {}
         if wanted:
-            ranked = running_totals(counts.where(F.col("_col").isin(large)), "_v", ["_n"], by=["_col"],
-                                    n_buckets=nb, cuts=[(r["_col"], r["_rt_cuts"]) for r in meta
-                                                        if r["_col"] in large])
-            targets = spark.createDataFrame(sorted(set(wanted)), "_col string, _r long")
-            hit = ranked.join(
-                F.broadcast(targets),
-                on=[ranked["_col"] == targets["_col"],
-                    (ranked["cum__n"] - ranked["_n"] <= targets["_r"]) & (targets["_r"] < ranked["cum__n"])],
-                how="inner",
-            ).select(targets["_col"], targets["_r"], ranked["_v"])
-            values = {(r["_col"], int(r["_r"])): float(r["_v"]) for r in hit.collect()}
+            values = _values_at_ranks(counts, wanted, {r["_col"]: r["_rt_cuts"] for r in meta})
     finally:
         counts.unpersist()
 
@@ -202,6 +194,52 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return out
 
 
+def _values_at_ranks(counts: DataFrame, wanted: dict[str, set[int]],
+                     cuts: dict[str, list[float] | None]) -> dict[tuple[str, int], float]:
+    """Value at each 0-based rank of ``wanted[col]`` in the ascending order of
+    ``counts`` rows (``_col, _v, _n``: one row per distinct value, ``_n``
+    copies of it).
+
+    The values are split into ranges on the fixed cut points; one aggregate
+    gives the size of every range (a table of at most columns x buckets
+    rows).  A rank then falls into a known range at a known local rank, so
+    only the ranges that hold a wanted rank are ordered (one window
+    partition each); the other values are never sorted.
+    """
+    spark = counts.sparkSession
+    cut_rows = [(c, [float(x) for x in (cuts.get(c) or [])]) for c in wanted]
+    cuts_df = spark.createDataFrame(cut_rows, "_col string, _cuts array<double>")
+    keyed = counts.join(F.broadcast(cuts_df), on="_col", how="inner").select(
+        "_col", "_v", "_n",
+        F.coalesce(F.size(F.filter("_cuts", lambda b: b < F.col("_v"))), F.lit(0)).alias(_BUCKET))
+    totals: dict[str, dict[int, int]] = {}
+    for r in keyed.groupBy("_col", _BUCKET).agg(F.sum("_n").alias("t")).collect():
+        totals.setdefault(r["_col"], {})[int(r[_BUCKET])] = int(r["t"])
+    targets = []
+    for c, ranks in wanted.items():
+        off = 0
+        spans = []
+        for b in sorted(totals.get(c, {})):
+            spans.append((b, off, off + totals[c][b]))
+            off += totals[c][b]
+        for rank in sorted(ranks):
+            for b, lo, hi in spans:
+                if lo <= rank < hi:
+                    targets.append((c, b, rank - lo, rank))
+                    break
+    if not targets:
+        return {}
+    tdf = spark.createDataFrame(targets, f"_col string, {_BUCKET} int, _lr long, _r long")
+    parts = tdf.select("_col", _BUCKET).distinct()
+    w = Window.partitionBy("_col", _BUCKET).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = keyed.join(F.broadcast(parts), on=["_col", _BUCKET], how="left_semi") \
+        .withColumn("_cum", F.sum("_n").over(w))
+    hit = ranked.join(F.broadcast(tdf), on=["_col", _BUCKET], how="inner") \
+        .where((F.col("_cum") - F.col("_n") <= F.col("_lr")) & (F.col("_lr") < F.col("_cum"))) \
+        .select("_col", "_r", "_v")
+    return {(r["_col"], int(r["_r"])): float(r["_v"]) for r in hit.collect()}
+
+
 def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     q = exact_quantiles(df, cols, [0.5])
     return {c: v[0.5] for c, v in q.items()}

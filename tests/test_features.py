@@ -42,6 +42,29 @@ def test_exact_quantile_large_path_matches_small_path(spark):
         assert small["v"][p] == pytest.approx(large["v"][p])
 
 
+def test_exact_quantile_large_path_matches_numpy(spark):
+    """Several columns, heavy ties, NULLs, extreme ranks: only the ranges
+    holding a wanted rank are ordered, the result equals numpy's."""
+    import numpy as np
+
+    n = 4000
+    a = [float((i * 7919) % 997) for i in range(n)]
+    b = [None if i % 11 == 0 else float(i % 3) for i in range(n)]       # three values, many copies
+    c = [float(i * i % 50021) - 20000.0 for i in range(n)]
+    df = spark.createDataFrame(list(zip(a, b, c)), "a double, b double, c double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    old = ordered.SMALL_DISTINCT
+    try:
+        ordered.SMALL_DISTINCT = 2
+        got = ordered.exact_quantiles(df, ["a", "b", "c"], probs, n_buckets=5)
+    finally:
+        ordered.SMALL_DISTINCT = old
+    for name, vals in (("a", a), ("b", b), ("c", c)):
+        arr = np.array([v for v in vals if v is not None])
+        for p in probs:
+            assert got[name][p] == pytest.approx(float(np.quantile(arr, p))), (name, p)
+
+
 def test_running_totals_bucketed_equals_window(spark):
     df = spark.range(0, 3000).select(((F.col("id") * 37) % 3001).alias("k"), (F.col("id") % 5).alias("w"))
     a = {r.k: r.cum_w for r in ordered.running_totals(df, "k", ["w"], n_buckets=9).collect()}
