@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,8 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is.  Only when nothing is configured (local tests)
-    a fresh temporary folder is taken.
+    folder and is used as is.  Only when nothing is configured and the master
+    is local (tests) a fresh temporary folder is taken; on a cluster that would
+    be a folder the executors cannot see, so it raises.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -55,12 +57,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
+        if not _single_process(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="cardlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir
 
 
+def _single_process(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors once per application.
+
+    Python workers import functions by module name, so a cluster needs the
+    package itself; a local session shares the driver's files.
+    """
+    sc = spark.sparkContext
+    if _single_process(spark) or sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="cardlens-code-"), "cardlens_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)  # served by the driver; the temporary copy is only its source
+    _shipped.add(sc.applicationId)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint).
 
