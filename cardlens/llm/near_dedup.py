@@ -9,11 +9,13 @@
    ``coords - need + 1`` rarest values of each (prefix): only those are looked up. A value of a
    passage that very many documents share is common, so it falls outside the prefixes of
    documents that have little else in common.
-4. Merging with skips: first every class is held against the leader of its list that it shares
-   most postings with, and linked classes merge. A list whose members all belong to one component
-   is skipped for good. In the lists that still hold several components, all pairs across
-   components are counted in blocks of at most ``block`` members by ``block`` members, and pairs
-   that collide in ``need`` coordinates are retained.
+4. Merging with skips: first every class is held against the leader of its lists that it shares
+   most postings with, and linked classes merge. A list is led by its most central member, the
+   one whose values are shared most, as the original among its variants. A list whose members
+   all belong to one component is skipped for good, and so is a member that has too few shingles
+   in common with all other components together. In the lists that still hold several
+   components, the pairs across components are counted on a longer signature, in blocks of about
+   ``block`` members by ``block`` members, and pairs above the match threshold are retained.
 5. Retained pairs are confirmed on the full shingle sets, so a link is never an estimate.
 
 ``need`` lies ``sigmas`` standard deviations below the expected number of collisions of a pair
@@ -35,6 +37,14 @@ from cardlens.llm.components import components
 
 #: Rows of bare ids that may be broadcast (about 50 MB in a hash table); beyond that the join shuffles.
 BROADCAST_IDS = 2_000_000
+#: Coordinates of the signature that the last blocks are counted on.
+FINE = 1024
+
+
+def _need(coords: int, percent: int, sigmas: float) -> int:
+    """Collisions that a pair at the threshold falls short of by chance once in many thousand times."""
+    p = percent / 100
+    return max(1, math.floor(coords * p - sigmas * math.sqrt(coords * p * (1 - p))))
 
 
 def _coefficients(coords: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,55 +110,80 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
-def _blocks(active: DataFrame, sizes: DataFrame, need: int, block: int) -> DataFrame:
-    """Pairs of different components that collide in ``need`` coordinates, counted block by block.
+def _fine(sets: DataFrame, coords: int, seed: int) -> DataFrame:
+    """node, fine: a longer signature of one byte a coordinate, for the pairs that are left."""
+    a, b = _coefficients(coords, seed)
+
+    def run(batches):
+        for batch in batches:
+            fine = [_signature(np.array(x, np.int64).view(np.uint64), a, b).astype(np.uint8).tobytes()
+                    for x in batch.column("items").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(fine, pa.binary())], ["node", "fine"])
+
+    return sets.mapInArrow(run, "node long, fine binary")
+
+
+def _blocks(active: DataFrame, fine: DataFrame, need: int, percent: int, block: int) -> DataFrame:
+    """Pairs of different components whose fine signatures collide in ``need`` coordinates.
 
-    ``active``: pv, node, comp, sig; ``sizes``: pv, size. A list of s members is cut into
-    ceil(s / block) parts; each pair of parts is one group of at most about 2 * block rows.
+    ``active``: pv, node, comp, n, x (see ``_able``); ``fine``: node, fine. In each list the largest
+    component needs no pairs of its own. It is cut into parts of about ``block`` members and the
+    rest of the list likewise; a group holds one part against one part of the rest. A pair that
+    shares several lists is retained in the first of them only.
     """
-    parts = F.ceil(F.col("size") / block).cast("int")
-    cut = (active.join(sizes, "pv")
-           .withColumn("parts", parts)
-           .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sizes = materialise(
+        active.groupBy("pv", "comp").agg(F.count("*").alias("c"))
+        .groupBy("pv").agg(F.max(F.struct("c", "comp")).alias("big"), F.sum("c").alias("size"))
+        .where(F.col("big.c") < F.col("size"))
+        .select("pv", F.col("big.comp").alias("big"), F.ceil(F.col("big.c") / block).cast("int").alias("pb"),
+                F.ceil((F.col("size") - F.col("big.c")) / block).cast("int").alias("pr")), "near-sizes")
+    mine = F.pmod(F.xxhash64("node", "pv"), F.when(F.col("own"), F.col("pb")).otherwise(F.col("pr"))).cast("int")
+    # parts of the rest count from 0, parts of the largest component from -1 down
+    other = F.when(F.col("own"), F.sequence(F.lit(0), F.col("pr") - 1)).otherwise(F.sequence(-F.col("pb"), F.col("pr") - 1))
+    cut = (active.join(sizes, "pv").withColumn("own", F.col("comp") == F.col("big")).withColumn("mine", mine)
+           .withColumn("mine", F.when(F.col("own"), -1 - F.col("mine")).otherwise(F.col("mine")))
+           .withColumn("other", F.explode(other))
            .select(F.xxhash64("pv", F.least("mine", "other"), F.greatest("mine", "other")).alias("g"),
-                   F.when(F.col("mine") <= F.col("other"), F.lit(0)).otherwise(F.lit(1)).alias("side"),
-                   (F.col("mine") == F.col("other")).alias("own"), "node", "comp", "sig"))
+                   (F.col("mine") < F.col("other")).alias("side"), (F.col("mine") == F.col("other")).alias("same"),
+                   "pv", "node", "comp", "n", "x"))
+    about = active.groupBy("node").agg(F.sort_array(F.collect_list("pv")).alias("pvs")).join(fine, "node")
+    names = ["pv", "node", "comp", "n", "x", "side", "same", "pvs", "fine"]
 
     def compare(rows):
-        node = np.array([r[0] for r in rows])
-        comp = np.array([r[1] for r in rows])
-        sig = np.array([r[2] for r in rows], np.int32)
-        side = np.array([r[3] for r in rows])
-        own = rows[0][4]
+        pv, node, comp, n, x, side, same, pvs, sig = zip(*rows, strict=True)
+        node, comp, n, x, side = map(np.array, (node, comp, n, x, side))
+        sig = np.frombuffer(b"".join(sig), np.uint8).reshape(len(rows), -1)
         for i in range(len(rows) - 1):
             js = np.arange(i + 1, len(rows))
-            js = js[comp[js] != comp[i]] if own else js[(comp[js] != comp[i]) & (side[js] != side[i])]
+            js = js[(comp[js] != comp[i]) & (True if same[0] else side[js] != side[i])]
+            most = np.minimum(x[js], x[i])
+            js = js[most * 100 >= percent * (n[js] + n[i] - most)]
             if len(js):
-                js = js[(sig[js] == sig[i]).sum(axis=1) >= need]
-                for j in js:
-                    yield min(node[i], node[j]), max(node[i], node[j])
+                for j in js[(sig[js] == sig[i]).sum(axis=1) >= need]:
+                    if min(set(pvs[i]) & set(pvs[j])) == pv[0]:
+                        yield int(min(node[i], node[j])), int(max(node[i], node[j]))
+
+    def batch_of(pairs):
+        return pa.RecordBatch.from_pydict({"a": pa.array([p for p, _ in pairs], pa.int64()),
+                                           "b": pa.array([p for _, p in pairs], pa.int64())})
 
     def run(batches):
         held, group = [], None
         for batch in batches:
             out = []
-            cols = [batch.column(c).to_pylist() for c in ("node", "comp", "sig", "side", "own")]
+            cols = [batch.column(c).to_pylist() for c in names]
             for g, *row in zip(batch.column("g").to_pylist(), *cols, strict=True):
                 if g != group:
                     if len(held) > 1:
                         out += compare(held)
                     held, group = [], g
                 held.append(row)
-            yield pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in out], pa.int64()),
-                                              "b": pa.array([int(y) for _, y in out], pa.int64())})
+            yield batch_of(out)
         if len(held) > 1:
-            out = list(compare(held))
-            yield pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in out], pa.int64()),
-                                              "b": pa.array([int(y) for _, y in out], pa.int64())})
+            yield batch_of(list(compare(held)))
 
     parts_out = int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (cut.repartition(parts_out, "g").sortWithinPartitions("g")
+    return (cut.join(about, "node").select("g", *names).repartition(parts_out, "g").sortWithinPartitions("g")
             .mapInArrow(run, "a long, b long").distinct())
 
 
@@ -170,8 +205,7 @@ def near_duplicates(docs: DataFrame, *, k_words: int = 5, percent: int = 80, coo
     spark = docs.sparkSession
     ready(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), column_or(docs, "text", "string").alias("text"))
-    p = percent / 100
-    need = max(1, math.floor(coords * p - sigmas * math.sqrt(coords * p * (1 - p))))
+    need = _need(coords, percent, sigmas)
     prefix = coords - need + 1
 
     base = materialise(_signatures(docs, k_words, coords, seed), "near-base")
@@ -188,9 +222,9 @@ def near_duplicates(docs: DataFrame, *, k_words: int = 5, percent: int = 80, coo
         posted.join(shared, "pv").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "pv"))).alias("v"))
         .where(F.size("v") >= need)
         .select("node", F.expr(f"transform(slice(v, 1, greatest(0, {prefix - coords} + size(v))), x -> x.pv)")
-                .alias("pvs")), "near-front")
-    lists = materialise(front.select("node", F.explode("pvs").alias("pv")), "near-lists")
-    edges = _linked(docs, classes, front, lists, percent, need, k_words, star_rounds, block)
+                .alias("pvs"), F.expr("-aggregate(v, 0D, (s, x) -> s + ln(x.f))").alias("far")), "near-front")
+    lists = materialise(front.select("node", "far", F.explode("pvs").alias("pv")), "near-lists")
+    edges = _linked(docs, front, lists, percent, sigmas, k_words, star_rounds, block)
     comps = components(edges, "near")
 
     named = materialise(
@@ -204,7 +238,7 @@ def near_duplicates(docs: DataFrame, *, k_words: int = 5, percent: int = 80, coo
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
-def _linked(docs, classes, front, lists, percent, need, k_words, star_rounds, block) -> DataFrame:
+def _linked(docs, front, lists, percent, sigmas, k_words, star_rounds, block) -> DataFrame:
     """Confirmed links between classes (a, b), enough of them for the true components."""
     spark = docs.sparkSession
     ids = front.select(F.col("node").alias("doc_id")).distinct()
@@ -216,9 +250,9 @@ def _linked(docs, classes, front, lists, percent, need, k_words, star_rounds, bl
     edges, tested = none, none
     comps = spark.createDataFrame([], "node long, comp long")
     for turn in range(star_rounds):
-        members = lists.join(comps, "node", "left").select("pv", "node", F.coalesce("comp", "node").alias("comp"))
+        members = lists.join(comps, "node", "left").select("pv", "node", "far", F.coalesce("comp", "node").alias("comp"))
         leaders = materialise(
-            members.groupBy("pv").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp")).alias("l"),
+            members.groupBy("pv").agg(F.min(F.struct("far", "node", "comp")).alias("l"),
                                       F.min("comp").alias("low"), F.max("comp").alias("high"))
             .where("low < high").select("pv", F.col("l.node").alias("leader"), F.col("l.comp").alias("led")),
             "near-leaders")
@@ -235,16 +269,41 @@ def _linked(docs, classes, front, lists, percent, need, k_words, star_rounds, bl
         comps = components(edges, "near-star")
 
     members = lists.join(comps, "node", "left").select("pv", "node", F.coalesce("comp", "node").alias("comp"))
-    open_lists = materialise(
-        members.groupBy("pv").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        .where("low < high").select("pv", "size"), "near-open")
-    if open_lists.isEmpty():
+    active = _able(members, sets, percent)
+    if active.groupBy("pv").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").isEmpty():
         return edges
-    active = members.join(open_lists.select("pv"), "pv", "left_semi").join(classes.select("node", "sig"), "node")
-    rest = materialise(_blocks(active, open_lists, need, block).join(tested, ["a", "b"], "left_anti"), "near-rest")
+    fine = materialise(_fine(sets.join(active.select("node").distinct(), "node", "left_semi"), FINE, 77), "near-fine")
+    rest = materialise(_blocks(active, fine, _need(FINE, percent, sigmas), percent, block)
+                       .join(tested, ["a", "b"], "left_anti"), "near-rest")
     return materialise(edges.union(_confirmed(rest, sets, percent)), "near-edges")
 
 
+def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members of open lists that can still link with another component: pv, node, comp, n, x.
+
+    Two sets of different components have at most ``x`` shingles in common, where ``x`` counts a
+    set's shingles that some other component's set holds as well. So a link between sets of n and
+    m needs 100 * x >= percent * (n + m - x): a member stays in a list only if that holds for the
+    smallest m in it. This is a bound, not an estimate: no link is lost.
+    """
+    mixed = materialise(
+        members.groupBy("pv").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+        .where("low < high").select("pv"), "near-mixed")
+    members = materialise(members.join(mixed, "pv", "left_semi").select("pv", "node", "comp"), "near-members")
+    nodes = members.select("node", "comp").distinct()
+    items = nodes.join(sets, "node").select("node", "comp", F.size("items").alias("n"), F.explode("items").alias("item"))
+    crossing = materialise(
+        items.groupBy("item").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+        .where("low < high").select("item"), "near-crossing")
+    able = materialise(
+        items.join(crossing, "item").groupBy("node").agg(F.max("n").alias("n"), F.count("*").alias("x"))
+        .where(F.col("x") * 100 >= percent * F.col("n")), "near-able")
+    members = members.join(able, "node")
+    least = members.groupBy("pv").agg(F.min("n").alias("m"))
+    fits = F.col("x") * 100 >= percent * (F.col("n") + F.col("m") - F.col("x"))
+    return materialise(members.join(materialise(least, "near-least"), "pv").where(fits).drop("m"), "near-active")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: three-word shingles, 100 * intersection >= 85 * union."""
     return near_duplicates(table(spark, sf_dir, "documents"), k_words=3, percent=85)
