@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from cardlens.llm import near_dedup
+from cardlens.llm import decontaminate, mixing, near_dedup, pii, quality, url_filter
 
 QUERIES = {
+    "op1_url_filter": url_filter.op1_url_filter,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_pii": pii.op3_pii,
+    "op5_quality": quality.op5_quality,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op7_mix": mixing.op7_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op1_url_filter": url_filter.OP1_SQL,
+    "op2_decontaminate": decontaminate.OP2_SQL,
+}
