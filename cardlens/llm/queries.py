@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardlens.llm import decontaminate, mixing, near_dedup, pii, quality, url_filter
+from cardlens.llm import decontaminate, mixing, near_dedup, pii, quality, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -11,9 +11,11 @@ QUERIES = {
     "op5_quality": quality.op5_quality,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_mix": mixing.op7_mix,
+    "op10_warc": warc.op10_warc,
 }
 
 ORACLE_SQL = {
     "op1_url_filter": url_filter.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
+    "op10_warc": warc.OP10_SQL,
 }
