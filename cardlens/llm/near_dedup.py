@@ -103,10 +103,16 @@ def _sets(docs: DataFrame, k_words: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b whose full sets have 100 * intersection >= percent * union."""
-    both = (pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
-            .select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"),
-                    F.size(F.array_intersect("xa", "xb")).alias("i")))
+    """Pairs a, b whose full sets have 100 * intersection >= percent * union.
+
+    Ids are broadcast up to BROADCAST_IDS, so one side's sets stay where they are and of the
+    other's only those named travel; beyond that all joins shuffle.
+    """
+    small = F.broadcast if pairs.count() <= BROADCAST_IDS else lambda x: x
+    first = sets.toDF("a", "xa").join(small(pairs.select("a", "b")), "a")
+    named = sets.toDF("b", "xb").join(small(pairs.select("b").distinct()), "b", "left_semi")
+    both = first.join(named, "b").select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"),
+                                         F.size(F.array_intersect("xa", "xb")).alias("i"))
     return both.where(F.col("i") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
