@@ -168,8 +168,10 @@ def _shift(keyed: DataFrame, sources: list[dict], cap: int) -> None:
         rows = (keyed.join(F.broadcast(now), "k").withColumn("r", rate)
                 .withColumn("lag", F.when(F.col("r") < cap * RATE_UNIT, _lag(F.col("draw"), F.col("r"))))
                 .withColumn("words", F.col("size") * F.col("n"))
-                .withColumn("bucket", F.least(F.greatest(F.floor((F.col("lag") - F.col("first")) / F.col("step")),
-                                                         F.lit(-1)), F.lit(buckets + 1)))
+                # documents at the cap have no lag: a bucket beyond those that are walked
+                .withColumn("bucket", F.when(F.col("lag").isNull(), F.lit(buckets + 2)).otherwise(
+                    F.least(F.greatest(F.floor((F.col("lag") - F.col("first")) / F.col("step")), F.lit(-1)),
+                            F.lit(buckets + 1))))
                 .groupBy("k", "bucket").agg(
                     F.sum("words").alias("words"),
                     F.sum(F.when(F.col("lag").isNull(), F.col("words") * cap)
