@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from cardlens.llm import decontaminate, mixing, near_dedup, pii, quality, url_filter, warc
+from cardlens.llm import decontaminate, fingerprint, html_extract, mixing, near_dedup, pii, quality, url_filter, warc
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_pii": pii.op3_pii,
+    "op4_fingerprint": fingerprint.op4_fingerprint,
     "op5_quality": quality.op5_quality,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_mix": mixing.op7_mix,
+    "op9_html_extract": html_extract.op9_html_extract,
     "op10_warc": warc.op10_warc,
 }
 
