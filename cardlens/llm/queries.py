@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from cardlens.llm import decontaminate, fingerprint, html_extract, mixing, near_dedup, pii, quality, url_filter, warc
+from cardlens.llm import (decontaminate, fingerprint, html_extract, mixing, near_dedup, pii, quality, tool_calls,
+                           url_filter, warc)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_quality": quality.op5_quality,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_mix": mixing.op7_mix,
+    "op8_tool_calls": tool_calls.op8_tool_calls,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_warc": warc.op10_warc,
 }
@@ -19,5 +21,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_url_filter": url_filter.OP1_SQL,
     "op2_decontaminate": decontaminate.OP2_SQL,
+    "op8_tool_calls": tool_calls.OP8_SQL,
     "op10_warc": warc.OP10_SQL,
 }
