@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from cardlens.llm.common import column_or, materialise, table
 
-PIECE_WORDS = 8
+PIECE_WORDS = 16
 ROW_CELLS = 8
 CELLS = 3 * ROW_CELLS
 #: Keys of both versions for each block of a larger sketch, on average.
-BLOCK_KEYS = 6
+BLOCK_KEYS = 8
 #: Rounds of peeling; what is left then counts as a failure.
 ROUNDS = 8
 MAX_RETRIES = 40
@@ -44,16 +44,23 @@ def keys_of(text: str) -> str:
     return f"array_sort(array_distinct(transform(regexp_extract_all({text}, '{piece}', 0), p -> xxhash64(p))))"
 
 
-def _cell(key: str, i: str) -> str:
-    """SQL: whether the key's cell in the row of cell ``i`` is cell ``i``."""
-    return f"((shiftrightunsigned({key}, cast(8 * ({i} div {ROW_CELLS}) as int)) & {ROW_CELLS - 1}) = {i} % {ROW_CELLS})"
+#: Bit i of a key's mask stands for cell i: one bit in each row of cells.
+_MASKS = "array(" + ", ".join(str(1 << i) for i in range(CELLS)) + ")"
+_KEY = "struct<k:bigint,s:int,g:int,m:int>"
+
+
+def _key(k: str, sign: str) -> str:
+    """SQL: a signed key with its check and its cells."""
+    bits = " | ".join(f"shiftleft(1, {ROW_CELLS * r} + cast(shiftrightunsigned({k}, {8 * r}) & {ROW_CELLS - 1} as int))"
+                      for r in range(3))
+    return f"named_struct('k', {k}, 's', {sign}, 'g', hash({k}), 'm', {bits})"
 
 
 def sketch(signed: str) -> str:
-    """SQL: the cells of an array of (k key, s sign)."""
-    return (f"transform(sequence(0, {CELLS - 1}), i -> aggregate(filter({signed}, x -> {_cell('x.k', 'i')}), "
+    """SQL: the cells of an array of signed keys (see ``_key``)."""
+    return (f"transform({_MASKS}, i -> aggregate(filter({signed}, x -> (x.m & i) <> 0), "
             "named_struct('c', 0, 'k', 0L, 'h', 0), "
-            "(a, x) -> named_struct('c', a.c + x.s, 'k', a.k ^ x.k, 'h', a.h ^ hash(x.k))))")
+            "(a, x) -> named_struct('c', a.c + x.s, 'k', a.k ^ x.k, 'h', a.h ^ x.g)))")
 
 
 def subtract(a: str, b: str) -> str:
@@ -63,12 +70,14 @@ def subtract(a: str, b: str) -> str:
 
 def peel(cells: str) -> str:
     """SQL: struct(ok, d): whether all differing keys came out, and how many did."""
-    pure = ("array_distinct(transform(filter(st.cells, z -> abs(z.c) = 1 AND hash(z.k) = z.h), "
-            "z -> named_struct('k', z.k, 'c', z.c)))")
-    without = (f"transform(st.cells, (z, i) -> aggregate(filter(pure, p -> {_cell('p.k', 'i')}), z, "
-               "(y, p) -> named_struct('c', y.c - p.c, 'k', y.k ^ p.k, 'h', y.h ^ hash(p.k))))")
-    step = _let("pure", pure, f"if(size(pure) = 0, st, named_struct('cells', {without}, 'd', st.d + size(pure)))")
-    run = f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'd', 0), (st, r) -> {step})"
+    pure = ("array_distinct(transform(filter(st.cells, z -> (z.c = 1 OR z.c = -1) AND hash(z.k) = z.h), "
+            f"z -> {_key('z.k', 'z.c')}))")
+    without = (f"zip_with(st.cells, {_MASKS}, (z, i) -> aggregate(filter(pure, p -> (p.m & i) <> 0), z, "
+               "(y, p) -> named_struct('c', y.c - p.s, 'k', y.k ^ p.k, 'h', y.h ^ p.g)))")
+    step = _let("pure", pure, "if(size(pure) = 0, named_struct('cells', st.cells, 'd', st.d, 'go', false), "
+                              f"named_struct('cells', {without}, 'd', st.d + size(pure), 'go', true))")
+    run = (f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'd', 0, 'go', true), "
+           f"(st, r) -> if(st.go, {step}, st))")
     return _let("e", run, "named_struct('ok', forall(e.cells, z -> z.c = 0 AND z.k = 0 AND z.h = 0), 'd', e.d)")
 
 
@@ -82,13 +91,13 @@ def _blocks(signed: str, per_block: int) -> str:
     """SQL: the signed keys of both versions, dealt to blocks by their first bits: an array of arrays."""
     bits = f"greatest(0, cast(ceil(log2(greatest(1, size(sk)) / {per_block}D)) as int))"
     block = "if(j = 0, 0L, shiftrightunsigned(x.k, 64 - j))"
-    tagged = f"array_sort(transform(sk, x -> named_struct('b', {block}, 'k', x.k, 's', x.s)))"
+    tagged = f"array_sort(transform(sk, x -> named_struct('b', {block}, 'x', x)))"
     # sorted by block: one walk collects each run
-    walk = ("aggregate(t, named_struct('b', -1L, 'run', cast(array() as array<struct<k:bigint,s:int>>), "
-            "'done', cast(array() as array<array<struct<k:bigint,s:int>>>)), "
-            "(a, x) -> if(a.b = x.b, "
-            "named_struct('b', a.b, 'run', array_append(a.run, named_struct('k', x.k, 's', x.s)), 'done', a.done), "
-            "named_struct('b', x.b, 'run', array(named_struct('k', x.k, 's', x.s)), 'done', array_append(a.done, a.run))), "
+    walk = (f"aggregate(t, named_struct('b', -1L, 'run', cast(array() as array<{_KEY}>), "
+            f"'done', cast(array() as array<array<{_KEY}>>)), "
+            "(a, y) -> if(a.b = y.b, "
+            "named_struct('b', a.b, 'run', array_append(a.run, y.x), 'done', a.done), "
+            "named_struct('b', y.b, 'run', array(y.x), 'done', array_append(a.done, a.run))), "
             "a -> array_append(a.done, a.run))")
     return _let("sk", signed, _let("j", bits, _let("t", tagged, walk)))
 
@@ -103,13 +112,12 @@ def _large(signed: str, per_block: int = BLOCK_KEYS) -> str:
 
 
 def _signed(plus: str, minus: str) -> str:
-    return (f"concat(transform({plus}, x -> named_struct('k', x, 's', 1)), "
-            f"transform({minus}, x -> named_struct('k', x, 's', -1)))")
+    return f"concat(transform({plus}, x -> {_key('x', '1')}), transform({minus}, x -> {_key('x', '-1')}))"
 
 
 def compare(mine: str, mine_cells: str, other: str, other_cells: str) -> str:
     """SQL: struct(d, bad) of two key arrays: their sketches first, then the larger one."""
-    none = "cast(array() as array<struct<k:bigint,s:int>>)"
+    none = f"cast(array() as array<{_KEY}>)"
     return _let("r", peel(subtract(mine_cells, other_cells)),
                 f"if(r.ok, named_struct('d', cast(r.d as bigint), 'bad', {none}), {_large(_signed(mine, other))})")
 
@@ -166,13 +174,13 @@ def versions(docs: DataFrame) -> DataFrame:
             .select("_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                     F.struct(F.expr(keys_of("text")).alias("a"), F.expr(keys_of("edited")).alias("e"),
                              F.col("next_keys").alias("x")).alias("keys")))
-    plain = lambda k: f"transform({k}, v -> named_struct('k', v, 's', 1))"
+    plain = lambda k: f"transform({k}, v -> {_key('v', '1')})"
     # one let for each value that is used more than once, or it would be evaluated again and again
-    row = _let("ca", sketch(plain("q.a")), _let("ce", sketch(plain("q.e")), (
+    row = _let("ca", _let("ks", plain("q.a"), sketch("ks")), _let("ce", _let("ks", plain("q.e"), sketch("ks")), (
         f"named_struct('f', {rendered('ca')}, 'ef', {rendered('ce')}, "
         "'na', size(q.a), 'ne', size(q.e), 'nx', size(q.x), "
         f"'ve', {compare('q.a', 'ca', 'q.e', 'ce')}, "
-        f"'vx', {_let('cx', sketch(plain('q.x')), compare('q.a', 'ca', 'q.x', 'cx'))})")))
+        f"'vx', {_let('cx', _let('ks', plain('q.x'), sketch('ks')), compare('q.a', 'ca', 'q.x', 'cx'))})")))
     first = materialise(
         both.select("_id", "n_chars", "edited_sha256", F.expr(_let("q", "keys", row)).alias("v"))
         .select("_id", "n_chars", "edited_sha256", "v.*", F.monotonically_increasing_id().alias("_row")), "fp-first")
@@ -196,7 +204,7 @@ def _retried(first: DataFrame) -> DataFrame | None:
     for turn in range(1, MAX_RETRIES + 1):
         if left.isEmpty():
             break
-        fresh = f"transform(sk, x -> named_struct('k', xxhash64(x.k, {turn}), 's', x.s))"
+        fresh = f"transform(transform(sk, x -> named_struct('k', xxhash64(x.k, {turn}), 's', x.s)), x -> {_key('x.k', 'x.s')})"
         tried = materialise(left.select("_row", "kind", F.expr(_large(fresh, 2)).alias("v")), "fp-retried")
         found = tried.select("_row", "kind", "v.d")
         done = found if done is None else done.union(found)
