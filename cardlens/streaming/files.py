@@ -3,16 +3,16 @@
 The original is run by hand on a folder of monthly files.  The same two
 jobs as streams over a landing folder:
 
-* ``per_file_churn_stream`` - H3 on every new file: a file is an atomic
-  unit of the file source, and the per-file rule only looks inside one
-  file, so each micro-batch is labelled on its own.
+* ``per_file_churn_stream`` - H3 on every new file.  The unit is the named
+  file, not the part or the batch, so the result does not depend on how
+  parts fall into micro-batches.
 * ``scoring_stream`` - the scoring pipeline on every new snapshot file,
   with a saved model + preparation artifacts and a per-customer
   transaction-feature table.
 
-Both write through ``foreachBatch`` into a table partitioned by batch id
-with dynamic partition overwrite, so a replayed batch (after a failure)
-rewrites its own partition instead of appending duplicates.  Checkpoints
+Both write through ``foreachBatch`` with dynamic partition overwrite (by
+file, or by batch id when scoring), so a replayed batch (after a failure)
+rewrites its own partitions instead of appending duplicates.  Checkpoints
 go under the shared checkpoint folder unless a location is given.
 """
 
@@ -28,15 +28,19 @@ from cardlens.operators import churn as ch
 from cardlens.session import scratch_path
 
 
-def _text_stream(spark: SparkSession, landing: str, columns: list[str], encoding: str = "ISO-8859-1") -> DataFrame:
+def _text(reader, landing: str, columns: list[str], encoding: str) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = (spark.readStream.schema(schema).option("header", True).option("encoding", encoding)
-          .option("maxFilesPerTrigger", 8).csv(landing))
+    df = reader.schema(schema).option("header", True).option("encoding", encoding).csv(landing)
+    df = df.withColumns({c: F.when(~F.trim(c).isin(list(schemas.NA_TOKENS)), F.col(c)) for c in columns})
     if schemas.SOURCE_FILE_COL in df.columns:      # ``source_file=<name>/`` folders
         return df.withColumn(schemas.SOURCE_FILE_COL, F.col(schemas.SOURCE_FILE_COL).cast("string"))
     return df.withColumn(schemas.SOURCE_FILE_COL, F.col("_metadata.file_name"))
 
 
+def _text_stream(spark: SparkSession, landing: str, columns: list[str], encoding: str = "ISO-8859-1") -> DataFrame:
+    return _text(spark.readStream, landing, columns, encoding)
+
+
 def _idempotent_sink(out: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id))
@@ -48,12 +52,20 @@ def _idempotent_sink(out: str):
 def per_file_churn_stream(spark: SparkSession, landing: str, out: str, columns: list[str],
                           statuses=schemas.CHURN_STATUSES_PER_FILE, checkpoint: str | None = None,
                           available_now: bool = True) -> StreamingQuery:
-    """H3 as files arrive: every row of each new file with its CHURN flag."""
+    """H3 as files arrive: every row of each new file with its CHURN flag.
+
+    A monthly file may land as any number of parts, in any batches: each batch
+    names the files it touched, and those are labelled anew from all their
+    landed parts and replace their partition of ``out`` (column ``file``).
+    """
     stream = _text_stream(spark, landing, columns)
-    sink = _idempotent_sink(out)
+    name = schemas.SOURCE_FILE_COL
 
     def label(batch: DataFrame, batch_id: int) -> None:
-        sink(ch.churn_per_file(batch, statuses), batch_id)
+        touched = batch.select(name).distinct()
+        landed = _text(spark.read, landing, columns, "ISO-8859-1").join(touched, name, "left_semi")
+        (ch.churn_per_file(landed, statuses).withColumn("file", F.col(name))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(out))
 
     w = stream.writeStream.foreachBatch(label).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt/per-file-churn"))

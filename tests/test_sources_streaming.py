@@ -73,3 +73,42 @@ def test_scoring_stream_end_to_end(spark, tmp_path):
     replay = spark.createDataFrame(again.collect(), again.schema)   # small test batch
     st._idempotent_sink(out)(replay, bid)
     assert spark.read.parquet(out).count() == n
+
+
+@pytest.mark.parametrize("parts", [1, 8, 20])
+def test_churn_stream_does_not_depend_on_parts(spark, tmp_path, parts):
+    from cardlens.streaming import files as st
+
+    rows = [(str(i), str(i % 40), ["NORM", "CLSB", "N/A", "WROF", "CLSC"][i * 7 % 5], f"m{i % 3}.csv") for i in range(300)]
+    df = spark.createDataFrame(rows, "event_id string, RIM_NO string, STATUS string, source_file string")
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for half in (df.where("event_id < '2'"), df.where("event_id >= '2'")):   # two landings, two batches
+        half.repartition(parts).write.mode("append").option("header", True).partitionBy("source_file").csv(landing)
+        st.per_file_churn_stream(spark, landing, out, ["event_id", "RIM_NO", "STATUS"],
+                                 checkpoint=str(tmp_path / "ckpt")).awaitTermination()
+    na = df.withColumn("STATUS", F.expr("nullif(STATUS, 'N/A')"))
+    want = {(r.event_id, r.CHURN) for r in ch.churn_per_file(na).collect()}
+    assert {(r.event_id, r.CHURN) for r in spark.read.parquet(out).collect()} == want
+
+
+def test_cluster_needs_a_shared_checkpoint_folder():
+    from cardlens import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.ensure_checkpoint_dir(Session())
