@@ -195,10 +195,12 @@ def _shift(keyed: DataFrame, sources: list[dict], cap: int) -> None:
 
 
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it has copies, with the columns of ``docs`` and ``copy``."""
-    rows = mix(docs, **how).where("_copies > 0")
+    """The mix itself: every row of ``docs`` as often as it has copies, with the columns of ``docs`` and ``copy`` (one of that name goes)."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "copy"]).alias("_row")
+    rows = mix(docs.select(whole, "doc_id", column_or(docs, "text", "string").alias("text"),
+                           column_or(docs, "source", "string").alias("source")), **how).where("_copies > 0")
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], copy.alias("copy"))
+    return rows.select("_row", copy.alias("copy")).select("_row.*", "copy")
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,8 @@
 * Random Fourier features turn them into a vector whose dot product approximates a Gaussian kernel.
 * Each partition sums its part of the normal equations (Z'Z, Z'y); Spark adds the parts and only
   the ``dim`` x ``dim`` total reaches the driver, which solves the ridge system.
-* Pool-adjacent-violators over score bins of rows that the ridge has not seen makes scores
-  probabilities of label 1.
+* Pool-adjacent-violators over score bins makes scores probabilities of label 1. Each row's bin
+  comes from weights that were fitted without its fold.
 
 Learning uses a bounded sample of the labelled rows (``max_train``); scoring covers every row.
 """
@@ -116,6 +116,9 @@ def _stack(batch, name="stats") -> np.ndarray:
     return np.array(batch.column(name).flatten(), dtype=float).reshape(-1, N_STATS)
 
 
+FOLDS = 4
+
+
 def _normal_equations(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Sum of the partitions' (Z'Z | Z'y); rows of the matrix are added up by Spark."""
     width = model.w.shape[1] + 1 + N_STATS
@@ -181,19 +184,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, dim:
     first = train.agg(*[F.avg(c) for c in cols], *[F.stddev_pop(c) for c in cols]).first()
     mean, std = np.array(first[:N_STATS]), np.maximum(np.array(first[N_STATS:]), 1e-6)
     model = Model(mean, std, None, dim, gamma, seed)
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(4))
-    a, b = _normal_equations(train.where(fold > 0), model)
-    model.weights = np.linalg.solve(a + ridge * np.eye(len(a)), b)
-
-    held = train.where(fold == 0)
+    # sums by fold: all but one of them give the weights that score the rows of that fold
+    train = train.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(FOLDS)))
+    sums = [_normal_equations(train.where(F.col("fold") == f), model) for f in range(FOLDS)]
+    a, b = sum(x for x, _ in sums), sum(y for _, y in sums)
+    eye = ridge * np.eye(len(a))
+    unseen = [np.linalg.solve(a - x + eye, b - y) for x, y in sums]
+    model.weights = np.linalg.solve(a + eye, b)
 
     def bins(batches):
         for batch in batches:
-            r = np.clip(model.raw(_stack(batch)), -1, 2)
+            z, fold = model.features(_stack(batch)), np.array(batch.column("fold"))
+            r = np.clip(sum((fold == f) * (z @ w) for f, w in enumerate(unseen)), -1, 2)
             yield pa.RecordBatch.from_pydict({"bin": pa.array(np.floor((r + 1) / 3 * BINS).astype(np.int64)),
                                               "r": pa.array(r), "label": batch.column("label")})
 
-    rows = (held.mapInArrow(bins, "bin long, r double, label long").groupBy("bin")
+    rows = (train.mapInArrow(bins, "bin long, r double, label long").groupBy("bin")
             .agg(F.avg("r").alias("r"), F.avg("label").alias("y"), F.count("*").alias("n")).collect())  # BINS rows
     if rows:
         rows.sort(key=lambda q: q["bin"])

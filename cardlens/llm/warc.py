@@ -1,7 +1,7 @@
 """WARC archives: a PySpark data source that writes and reads them.
 
 ``df.write.format("warc")`` writes one archive per task; ``spark.read.format("warc")`` plans one
-partition per archive part, parses headers first and decodes a payload only if the query reads it
+partition per archive, parses headers first and decodes a payload only if the query reads it
 and the header predicates that Spark pushed down hold. In an uncompressed archive the payload of
 an unwanted record is skipped by a seek; in a compressed one its member is inflated piecewise and
 dropped.
@@ -28,8 +28,6 @@ SCHEMA = ("record_id string, record_type string, target_uri string, payload_dige
           "payload_bytes long, refers_to string, payload binary")
 #: Payloads shorter than this are never revisits.
 MIN_REVISIT_BYTES = 100
-#: Archives beyond this size are cut into several partitions (uncompressed ones only).
-SPLIT_BYTES = 64 << 20
 CHUNK = 1 << 20
 
 # Column -> header line. X-Payload-Length holds the full payload's length also where a revisit has none.
@@ -153,19 +151,10 @@ class _Inflate:
                 return out
 
 
-def read_records(file, start: int, end: int | None, wanted, payload: bool, gzip: bool) -> Iterator[dict]:
-    """Records that begin in [start, end): the header is parsed first, the payload only if wanted."""
-    if gzip:
-        source = _Gzip(file)
-    else:
-        file.seek(start)
-        source = _Plain(file)
-        if start:
-            # a record that begins here follows the blank lines of the one before
-            if source.until(b"\r\n\r\n" + _BEGIN) is None:
-                return
-            source.held, source.at = _BEGIN + source.held, source.at - len(_BEGIN)
-    while end is None or source.at < end:
+def read_records(file, wanted, payload: bool, gzip: bool) -> Iterator[dict]:
+    """All records of an archive: the header is parsed first, the payload only if wanted."""
+    source = _Gzip(file) if gzip else _Plain(file)
+    while True:
         block = source.until(b"\r\n\r\n")
         if block is None:
             return
@@ -187,12 +176,10 @@ def read_records(file, start: int, end: int | None, wanted, payload: bool, gzip:
 @dataclass
 class _Part(InputPartition):
     path: str
-    start: int
-    end: int | None
 
-    def __init__(self, path: str, start: int, end: int | None):
-        super().__init__((path, start, end))
-        self.path, self.start, self.end = path, start, end
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.path = path
 
 
 class WarcReader(DataSourceReader):
@@ -216,12 +203,9 @@ class WarcReader(DataSourceReader):
         for info in sorted(store.get_file_info(fs.FileSelector(root, recursive=True)), key=lambda i: i.path):
             if info.type != fs.FileType.File or not info.base_name.endswith((".warc", ".warc.gz")):
                 continue
-            if info.base_name.endswith(".gz"):
-                parts.append(_Part(info.path, 0, None))
-            else:  # a cut may fall anywhere: a part owns the records that begin in it
-                parts += [_Part(info.path, at, min(at + SPLIT_BYTES, info.size))
-                          for at in range(0, info.size, SPLIT_BYTES)]
-        return parts or [_Part("", 0, 0)]
+            # whole archives: a payload may hold a record of its own, so no byte within is a safe start
+            parts.append(_Part(info.path))
+        return parts or [_Part("")]
 
     def read(self, partition):
         if not partition.path:
@@ -233,8 +217,7 @@ class WarcReader(DataSourceReader):
         store, _ = filesystem(self.path)
         with store.open_input_file(partition.path) as file:
             gzip = partition.path.endswith(".gz")
-            for row in read_records(file, partition.start, partition.end,
-                                    lambda r: all(r[k] in v for k, v in tests), payload, gzip):
+            for row in read_records(file, lambda r: all(r[k] in v for k, v in tests), payload, gzip):
                 held.append(row)
                 size += len(row.get("payload") or b"") + 500
                 if size > 8 << 20:

@@ -24,7 +24,7 @@ MIN_QUALITY = 0.5
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier rejects. Labels of the held-out third are not learnt."""
     model = quality.fit(docs, quality.learnable(table(spark, sf_dir, "labels")))
-    return quality.score(docs, model).where(F.col("_score") >= MIN_QUALITY).select(*_names(docs))
+    return quality.score(_carried(docs), model).where(F.col("_score") >= MIN_QUALITY).select("_row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,19 +56,24 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in every text; n_chars follows the new text where there is one."""
-    done = pii.pseudonymise(docs, PII_KEY)
+    done = pii.pseudonymise(_carried(docs), PII_KEY)
+    row = F.col("_row").withField("text", F.col("text").cast(docs.schema["text"].dataType))
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        done = done.withColumn("n_chars", F.when(F.col("_entities") > 0, F.length("text").cast(kind))
-                               .otherwise(F.col("n_chars")))
-    return done.select(*_names(docs))
+        n = F.length("text").cast(docs.schema["n_chars"].dataType)
+        row = row.withField("n_chars", F.when(F.col("_entities") > 0, n).otherwise(F.col("_row.n_chars")))
+    return done.select(row.alias("_row")).select("_row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as it has copies, with the columns of the mix operator."""
+    """The mix: each document as often as it has copies, plus ``copy``, counted from 1 (one of that name goes)."""
     return mixing.mixed_rows(docs)
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """``text`` and the whole row beside it, so no column of the row can clash with an operator's."""
+    return docs.select(F.struct(*_names(docs)).alias("_row"), "text")
+
+
 def _names(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
