@@ -102,6 +102,11 @@ def _sets(docs: DataFrame, k_words: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, items array<long>")
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    """A written table of ids, broadcast up to BROADCAST_IDS so that what joins it need not move."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs a, b whose full sets have 100 * intersection >= percent * union.
 
@@ -278,7 +283,8 @@ def _linked(docs, front, lists, percent, sigmas, k_words, star_rounds, block) ->
     active = _able(members, sets, percent)
     if active.groupBy("pv").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").isEmpty():
         return edges
-    fine = materialise(_fine(sets.join(active.select("node").distinct(), "node", "left_semi"), FINE, 77), "near-fine")
+    last = _small(materialise(active.select("node").distinct(), "near-last"))
+    fine = materialise(_fine(sets.join(last, "node", "left_semi"), FINE, 77), "near-fine")
     rest = materialise(_blocks(active, fine, _need(FINE, percent, sigmas), percent, block)
                        .join(tested, ["a", "b"], "left_anti"), "near-rest")
     return materialise(edges.union(_confirmed(rest, sets, percent)), "near-edges")
@@ -296,8 +302,8 @@ def _able(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         members.groupBy("pv").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         .where("low < high").select("pv"), "near-mixed")
     members = materialise(members.join(mixed, "pv", "left_semi").select("pv", "node", "comp"), "near-members")
-    nodes = members.select("node", "comp").distinct()
-    items = nodes.join(sets, "node").select("node", "comp", F.size("items").alias("n"), F.explode("items").alias("item"))
+    nodes = _small(materialise(members.select("node", "comp").distinct(), "near-nodes"))
+    items = sets.join(nodes, "node").select("node", "comp", F.size("items").alias("n"), F.explode("items").alias("item"))
     crossing = materialise(
         items.groupBy("item").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         .where("low < high").select("item"), "near-crossing")
