@@ -11,6 +11,9 @@ per-customer table.
 Per-file (H3): ``groupBy(file, id).agg(bool_and)`` over all files at once
 (no loop over files), joined back on (file, id).
 
+Both aggregates are written into the shared folder before the join back, so
+AQE can split an id that holds a large share of the rows.
+
 ``bool_and`` skips NULL, so the status test is coalesced to false first.
 """
 
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from cardlens import schemas
 from cardlens.functions import churn_key, norm_text
+from cardlens.session import written
 
 
 def _normalise(df: DataFrame, id_col: str, status_col: str) -> DataFrame:
@@ -72,7 +76,7 @@ def churn_latest_vs_history(df: DataFrame, statuses: Sequence[str] = schemas.CHU
     """
     df = _normalise(df, id_col, status_col)
     latest = latest or latest_file(df, file_col)
-    presence = customer_presence(df, latest, statuses, id_col, file_col, status_col)
+    presence = written(customer_presence(df, latest, statuses, id_col, file_col, status_col), "presence")
     churned_ids = presence.where("in_latest AND in_history AND all_churn") \
         .select(id_col, F.lit(1).alias(schemas.CHURN_COL))
     latest_rows = df.where(F.col(file_col) == F.lit(latest))
@@ -125,7 +129,7 @@ def churn_per_file(df: DataFrame, statuses: Sequence[str] = schemas.CHURN_STATUS
                    id_col: str = schemas.RAW_CUSTOMER_ID, file_col: str = schemas.SOURCE_FILE_COL,
                    status_col: str = schemas.STATUS_COL) -> DataFrame:
     """Every row with the customer-level CHURN of its file (NULL id -> NULL)."""
-    flags = per_file_flags(df, statuses, id_col, file_col, status_col)
+    flags = written(per_file_flags(df, statuses, id_col, file_col, status_col), "file-flags")
     return df.join(flags, on=[file_col, id_col], how="left")
 
 

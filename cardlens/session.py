@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,6 +109,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame into the shared folder and read it back.
+
+    A join against the files shuffles both sides, so AQE can split a hot key
+    of the other side; against an aggregate it cannot.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
