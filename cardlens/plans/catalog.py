@@ -575,6 +575,18 @@ def q_h3_churn_stream(spark, sf_dir):
         F.col("event_id").cast("bigint").alias("event_id"), "source_file", "RIM_NO", "STATUS", "CHURN"))
 
 
+@register("m7_draws_folds")
+def q_m7_draws_folds(spark, sf_dir):
+    """The search's draws (positions in the grid) and the rows held out in each fold of the training part."""
+    df = sp.train_test_split(labels.with_target(prep_input(spark, sf_dir)), id_cols=["o_orderkey"])
+    folds = df.where("is_test = 0").groupBy(bt.fold_column("o_orderkey").alias("fold")).agg(
+        F.count(F.lit(1)).alias("n_held"), F.sum("target").alias("n_held_default"))
+    draws = F.array(*[F.struct(F.lit(d).alias("draw"), F.lit(g).alias("grid_index"))
+                      for d, g in enumerate(bt.sample_indices())])
+    return normalise_output(folds.withColumn("d", F.explode(draws)).select(
+        "d.draw", "d.grid_index", "fold", "n_held", "n_held_default"))
+
+
 @register("m7_m8_tune")
 def q_m7_m8_tune(spark, sf_dir):
     """Random search (20 draws x 3 folds, oversampling inside each fold) on

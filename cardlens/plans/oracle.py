@@ -712,6 +712,20 @@ SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(target AS BIGINT) AS targe
 FROM hs
 """
 
+ORACLE["m7_draws_folds"] = _with(PRIME_V, _LABELLED) + """
+f AS (
+  SELECT CAST('0x' || substr(h, 9, 8) AS BIGINT) % 3 AS fold, count(*) AS n_held, sum(target) AS n_held_default
+  FROM hs WHERE substr(h, 1, 8) >= '4ccccccd' GROUP BY 1
+),
+g AS (
+  SELECT i AS grid_index, row_number() OVER (ORDER BY md5('42|' || CAST(i AS VARCHAR))) - 1 AS draw
+  FROM range(27648) t(i)
+)
+SELECT CAST(draw AS BIGINT) AS draw, CAST(grid_index AS BIGINT) AS grid_index, CAST(fold AS BIGINT) AS fold,
+       CAST(n_held AS BIGINT) AS n_held, CAST(n_held_default AS BIGINT) AS n_held_default
+FROM g JOIN f ON draw < 20
+"""
+
 ORACLE["m1_split_exact"] = _with(PRIME_V, _LABELLED) + """
 r AS (
   SELECT *, row_number() OVER (PARTITION BY target ORDER BY h || '|' || CAST(o_orderkey AS VARCHAR)) - 1 AS rk,
