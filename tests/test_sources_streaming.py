@@ -49,7 +49,7 @@ def test_scoring_stream_end_to_end(spark, tmp_path):
     txn = txn_view(spark, SF_SMALL)
     latest = ch.latest_file(prime)
     model_root = str(tmp_path / "model")
-    tr.run_training(prime.where(F.col("source_file") != latest), txn, AS_OF, id_cols=["o_orderkey"],
+    tr.run_training(prime.where(F.col("source_file") != latest), txn, AS_OF, id_cols=["RIMNO", "o_orderkey"],
                     out_dir=model_root, max_iter=3)
     new = prime.where(F.col("source_file") == latest).drop("source_file", "MIN_PAYMENT", "OVER_LIMIT")
     cols = [c for c in new.columns]
