@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens import schemas
-from cardlens.operators.ordered import SMALL_DISTINCT, running_totals
+from cardlens.operators.ordered import running_totals
+from cardlens.session import written
 
 
 def predict_label(df: DataFrame, proba: str = "default_probability", out: str = "predicted_label",
@@ -43,12 +44,10 @@ def roc_table(df: DataFrame, y: str = "y", proba: str = "proba") -> tuple[DataFr
 
     Returns ``(table, P, N)``.
     """
-    counts = _score_counts(df, y, proba).persist()
-    tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("D")).first()
+    counts = written(_score_counts(df, y, proba), "score-counts")
+    tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     p_all, n_all = int(tot["P"] or 0), int(tot["N"] or 0)
-    # few distinct scores (checked): one ordered window; else range buckets
-    buckets = 1 if int(tot["D"] or 0) <= SMALL_DISTINCT else None
-    ranked = running_totals(counts, "score", ["pos", "neg"], n_buckets=buckets)
+    ranked = running_totals(counts, "score", ["pos", "neg"])
     # rows with a score strictly below the threshold are predicted negative
     below_pos = F.col("cum_pos") - F.col("pos")
     below_neg = F.col("cum_neg") - F.col("neg")

@@ -7,14 +7,12 @@ cannot hold a high-cardinality column.  Instead:
 
 1. callers reduce to one row per distinct key (``groupBy(key).count()``, with
    map-side combine, so a hot key collapses early);
-2. approximate quantile cut points of the key (bounded-memory sketch) are
-   computed once and fixed as constants, splitting the keys into
-   ``n_buckets`` ranges;
-3. each range gets a local running sum (window partitioned by range);
-4. per-range totals (a table of at most groups x n_buckets rows) give each
-   range its offset, broadcast back on the range id.
+2. the rows are range-partitioned on (group, key), whole strings included, and
+   written with their range number, so the ranges stay fixed;
+3. each (group, range) gets a local running sum;
+4. per-range totals (at most groups + ranges rows) give each range its offset.
 
-The cut points only steer balance; the result is exact whatever they are.
+Spark's sample only steers balance; the result is exact whatever it is.
 
 ``exact_quantiles`` needs single ranks, not running sums: it sizes every range
 with one aggregate, finds the range and local rank of each wanted rank on the
@@ -27,101 +25,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_BUCKET = "_rt_bucket"
-
-# Size check for the single-task paths: a group whose distinct keys are
-# proven to be at most this many may be ordered in one task (window) or
-# kept as one aggregate's value map (``percentile``); anything larger goes
-# through the range-bucketed path.
-SMALL_DISTINCT = 200_000
+from cardlens.session import written
 
+_BUCKET = "_rt_bucket"
 
 def _default_buckets(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
 
 
-def _sortable_number(c, dtype: T.DataType):
-    """A double that never decreases when the key increases (for range cut points)."""
-    if isinstance(dtype, T.StringType):
-        # First 6 UTF-8 bytes, right padded with zero bytes, read as an integer:
-        # byte order equals Spark's binary string order.
-        head = F.substring(F.encode(c, "UTF-8"), 1, 6)
-        padded = F.concat(head, F.unhex(F.lit("000000000000")))
-        return F.conv(F.hex(F.substring(padded, 1, 6)), 16, 10).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        # wall-clock micros since 1970: monotone, no time-zone conversion
-        from cardlens.functions.dates import wall_clock_micros
-        return wall_clock_micros(c).cast("double")
-    return c.cast("double")
-
-
 def running_totals(df: DataFrame, order_col: str, weight_cols: Sequence[str],
                    by: Sequence[str] = (), n_buckets: int | None = None,
-                   prefix: str = "cum_", cuts: DataFrame | None = None) -> DataFrame:
+                   prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<w>`` = inclusive running sum of ``w`` in ascending ``order_col``
     order within each ``by`` group.  ``order_col`` must be unique per group
-    (aggregate first); NULL keys are not allowed.
+    (aggregate first); NULL keys are not allowed, a NULL group is a group.
     """
     by = list(by)
-    spark = df.sparkSession
-    n_buckets = n_buckets or _default_buckets(df)
-    if n_buckets == 1:
-        # caller proved each group small: one window per group, no offsets
-        w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))) \
-            .orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in weight_cols])
-    dtype = df.schema[order_col].dataType
-    keyed = df.withColumn("_rt_key", _sortable_number(F.col(order_col), dtype))
-
-    if n_buckets > 1:
-        if cuts is None:
-            fracs = [i / n_buckets for i in range(1, n_buckets)]
-            cut = keyed.groupBy(*by).agg(
-                F.percentile_approx("_rt_key", fracs, 10_000).alias("_rt_cuts")
-            )
-            # Cut points are fixed as constants (size: groups x n_buckets), so
-            # every branch below sees the same ranges, even after a retry.
-            rows = cut.collect()
-        else:
-            rows = cuts
-        if by:
-            schema = T.StructType(
-                [df.schema[c] for c in by]
-                + [T.StructField("_rt_cuts", T.ArrayType(T.DoubleType()))]
-            )
-            cuts_df = spark.createDataFrame([tuple(r) for r in rows], schema)
-            keyed = keyed.join(F.broadcast(cuts_df), on=by, how="left")
-        else:
-            cuts = rows[0]["_rt_cuts"] if rows else []
-            keyed = keyed.withColumn(
-                "_rt_cuts", F.array(*[F.lit(float(x)) for x in (cuts or [])]).cast("array<double>")
-            )
-        bucketed = keyed.withColumn(
-            _BUCKET, F.coalesce(F.size(F.filter("_rt_cuts", lambda b: b < F.col("_rt_key"))), F.lit(0))
-        ).drop("_rt_cuts", "_rt_key")
-    else:
-        bucketed = keyed.withColumn(_BUCKET, F.lit(0)).drop("_rt_key")
-
+    ranged = written(
+        df.repartitionByRange(n_buckets or _default_buckets(df), *by, order_col)
+        .withColumn(_BUCKET, F.spark_partition_id()), "ranges")
     part = by + [_BUCKET]
     w_local = Window.partitionBy(*part).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    local = bucketed.select(
-        "*", *[F.sum(c).over(w_local).alias(f"_rt_run_{c}") for c in weight_cols]
-    )
-    totals = bucketed.groupBy(*part).agg(*[F.sum(c).alias(f"_rt_tot_{c}") for c in weight_cols])
-    # Tiny table: at most groups x n_buckets rows.
-    w_off = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))) \
-        .orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"_rt_run_{c}") for c in weight_cols])
+    totals = ranged.groupBy(*part).agg(*[F.sum(c).alias(f"_rt_tot_{c}") for c in weight_cols])
+    w_off = Window.partitionBy(*(by or [F.lit(0)])).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *part,
-        *[F.coalesce(F.sum(f"_rt_tot_{c}").over(w_off), F.lit(0)).alias(f"_rt_off_{c}") for c in weight_cols],
-    )
-    out = local.join(F.broadcast(offsets), on=part, how="inner")
-    for c in weight_cols:
-        out = out.withColumn(f"{prefix}{c}", F.col(f"_rt_off_{c}") + F.col(f"_rt_run_{c}"))
-    drop = [_BUCKET] + [f"_rt_off_{c}" for c in weight_cols] + [f"_rt_run_{c}" for c in weight_cols]
-    return out.drop(*drop)
+        *[F.col(c).alias(f"_rt_at_{c}") for c in part],
+        *[F.coalesce(F.sum(f"_rt_tot_{c}").over(w_off), F.lit(0)).alias(f"_rt_off_{c}") for c in weight_cols])
+    same = F.lit(True)
+    for c in part:
+        same = same & F.col(c).eqNullSafe(F.col(f"_rt_at_{c}"))
+    return local.join(offsets, same).select(
+        *df.columns, *[(F.col(f"_rt_off_{c}") + F.col(f"_rt_run_{c}")).alias(f"{prefix}{c}") for c in weight_cols])
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -135,7 +71,6 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     cols = list(cols)
     if not cols:
         return {}
-    spark = df.sparkSession
     pairs = F.array(*[
         F.struct(F.lit(c).alias("_col"), F.col(f"`{c}`").cast("double").alias("_v")) for c in cols
     ])
@@ -143,28 +78,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = long.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_n")).persist()
     try:
-        nb = n_buckets or _default_buckets(df)
+        nb = max(n_buckets or _default_buckets(df), 2)
         fracs = [i / nb for i in range(1, nb)]
-        # one pass: sizes, distinct counts and range cut points for the large path
+        # one pass: sizes and range cut points
         meta = counts.groupBy("_col").agg(
-            F.sum("_n").alias("n"), F.count(F.lit(1)).alias("d"),
-            F.percentile_approx("_v", fracs, 10_000).alias("_rt_cuts")).collect()
+            F.sum("_n").alias("n"), F.percentile_approx("_v", fracs, 10_000).alias("_rt_cuts")).collect()
         sizes = {r["_col"]: int(r["n"]) for r in meta}
-        distinct = {r["_col"]: int(r["d"]) for r in meta}
-        small = [c for c in cols if 0 < distinct.get(c, 0) <= SMALL_DISTINCT]
-        out: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in cols}
-        if small:
-            # proven small value maps: exact weighted percentile in one aggregate
-            rows = counts.where(F.col("_col").isin(small)).groupBy("_col").agg(
-                F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]), F.col("_n")).alias("q")
-            ).collect()
-            for r in rows:
-                out[r["_col"]] = {p: float(v) for p, v in zip(probs, r["q"])}
-        large = [c for c in cols if distinct.get(c, 0) > SMALL_DISTINCT]
-        if not large:
-            return out
         wanted: dict[str, set[int]] = {}
-        for c in large:
+        for c in cols:
             n = sizes.get(c, 0)
             for p in probs:
                 if n == 0:
@@ -177,7 +98,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     finally:
         counts.unpersist()
 
-    for c in large:
+    out: dict[str, dict[float, float | None]] = {}
+    for c in cols:
         n = sizes.get(c, 0)
         out[c] = {}
         for p in probs:
@@ -246,14 +168,9 @@ def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
 
 
 def dense_index(df: DataFrame, value_col: str, by: Sequence[str] = (),
-                n_buckets: int | None = None, out_col: str = "index",
-                max_group_rows: int | None = None) -> DataFrame:
+                n_buckets: int | None = None, out_col: str = "index") -> DataFrame:
     """0-based position of each distinct value in ascending order within ``by``
-    (sorted label encoding).  Input must be distinct on ``by + value_col``.
-    ``max_group_rows``: a proven bound on rows per group; when it is at most
-    ``SMALL_DISTINCT`` one window per group is used."""
-    if max_group_rows is not None and max_group_rows <= SMALL_DISTINCT:
-        n_buckets = 1
+    (sorted label encoding).  Input must be distinct on ``by + value_col``."""
     ones = df.withColumn("_one", F.lit(1).cast("long"))
     ranked = running_totals(ones, value_col, ["_one"], by=by, n_buckets=n_buckets)
     return ranked.withColumn(out_col, F.col("cum__one") - 1).drop("_one", "cum__one")

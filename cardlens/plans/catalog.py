@@ -402,6 +402,17 @@ def q_m4_knn(spark, sf_dir):
     return normalise_output(nb.knn(emb, "vec_id", "embedding", group_col="label", k=schemas.SMOTE_K_NEIGHBORS))
 
 
+@register("m4_knn_ties")
+def q_m4_knn_ties(spark, sf_dir):
+    """Exact 5 nearest neighbours on coded vectors, where many distances tie (the smaller id is nearer)."""
+    coded = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_mktsegment", F.array(
+            (F.col("c_nationkey") % 5).cast("double"), F.floor(F.abs("c_acctbal") / 2500).cast("double"),
+            (F.col("c_custkey") % 2).cast("double")).alias("code"))
+    return normalise_output(nb.knn(coded, "c_custkey", "code", group_col="c_mktsegment",
+                                   k=schemas.SMOTE_K_NEIGHBORS))
+
+
 # ---------------------------------------------------------------------------
 # Oversampling, boosting, pipelines
 # ---------------------------------------------------------------------------
@@ -548,6 +559,26 @@ def q_k1_scores_csv(spark, sf_dir):
     return normalise_output(per_file.withColumns({c: F.lit(v) for c, v in totals.items()}))
 
 
+@register("k2_churn_latest_csv")
+def q_k2_churn_latest_csv(spark, sf_dir):
+    """K2: the labelled latest snapshot, written as CSV and read back."""
+    labelled, _ = _churn_a(spark, sf_dir)
+    df = labelled.select("RIMNO", "o_orderkey", "source_file", "STATUS", "CHURN")
+    root = _fresh(spark, "churn-latest")
+    sk.write_csv(df, root)
+    return normalise_output(spark.read.option("header", True).schema(df.schema).csv(root))
+
+
+@register("k3_churn_per_file_csv")
+def q_k3_churn_per_file_csv(spark, sf_dir):
+    """K3: every file's rows with CHURN, one folder per file, read back."""
+    df = ch.churn_per_file(churn_view(spark, sf_dir)).select("event_id", "source_file", "RIM_NO", "STATUS", "CHURN")
+    root = _fresh(spark, "churn-per-file")
+    sk.write_per_file(df, root)
+    back = spark.read.option("header", True).schema(df.schema).csv(root)
+    return normalise_output(back.select(*df.columns))
+
+
 # ---------------------------------------------------------------------------
 # Streaming (per-file churn as files land) and the remaining ML compositions
 # ---------------------------------------------------------------------------

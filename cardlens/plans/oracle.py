@@ -758,6 +758,23 @@ FROM r WHERE rank <= 5
 """
 
 
+ORACLE["m4_knn_ties"] = """
+WITH c AS (
+  SELECT c_custkey, c_mktsegment,
+         [CAST(c_nationkey % 5 AS DOUBLE), CAST(floor(abs(c_acctbal) / 2500) AS DOUBLE), CAST(c_custkey % 2 AS DOUBLE)] AS code
+  FROM customer
+),
+p AS (
+  SELECT a.c_custkey, b.c_custkey AS neighbour_id, list_distance(a.code, b.code) AS distance
+  FROM c a JOIN c b ON a.c_mktsegment = b.c_mktsegment AND a.c_custkey <> b.c_custkey
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY distance, neighbour_id) AS rank FROM p)
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(neighbour_id AS BIGINT) AS neighbour_id,
+       CAST(rank AS BIGINT) AS rank, round(distance, 4) AS distance
+FROM r WHERE rank <= 5
+"""
+
+
 ORACLE["m3_smote_class_counts"] = _with(PRIME_V, _LABELLED) + """
 s AS (SELECT target FROM hs WHERE substr(h, 1, 8) >= '4ccccccd'),
 g AS (SELECT target, count(*) AS n FROM s GROUP BY target)
@@ -793,6 +810,8 @@ FROM churn_v f, t GROUP BY f.source_file
 
 
 ORACLE["h3_churn_stream"] = ORACLE["h3_churn_per_file"]
+ORACLE["k2_churn_latest_csv"] = ORACLE["h1_churn_latest"]
+ORACLE["k3_churn_per_file_csv"] = ORACLE["h3_churn_per_file"]
 
 
 ORACLE["u2_u4_id_sets"] = _with(PRIME_V) + """

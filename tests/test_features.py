@@ -29,20 +29,7 @@ def test_p99_cap_keeps_null(spark):
     assert got[:3] == [1.0, 2.0, 3.0] and got[3] == pytest.approx(3.97) and got[4] is None
 
 
-def test_exact_quantile_large_path_matches_small_path(spark):
-    df = spark.range(0, 5000).select((F.col("id") * 7 % 1013).cast("double").alias("v"))
-    small = ordered.exact_quantiles(df, ["v"], [0.5, 0.99])
-    old = ordered.SMALL_DISTINCT
-    try:
-        ordered.SMALL_DISTINCT = 10
-        large = ordered.exact_quantiles(df, ["v"], [0.5, 0.99], n_buckets=7)
-    finally:
-        ordered.SMALL_DISTINCT = old
-    for p in (0.5, 0.99):
-        assert small["v"][p] == pytest.approx(large["v"][p])
-
-
-def test_exact_quantile_large_path_matches_numpy(spark):
+def test_exact_quantile_matches_numpy(spark):
     """Several columns, heavy ties, NULLs, extreme ranks: only the ranges
     holding a wanted rank are ordered, the result equals numpy's."""
     import numpy as np
@@ -53,12 +40,7 @@ def test_exact_quantile_large_path_matches_numpy(spark):
     c = [float(i * i % 50021) - 20000.0 for i in range(n)]
     df = spark.createDataFrame(list(zip(a, b, c)), "a double, b double, c double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
-    old = ordered.SMALL_DISTINCT
-    try:
-        ordered.SMALL_DISTINCT = 2
-        got = ordered.exact_quantiles(df, ["a", "b", "c"], probs, n_buckets=5)
-    finally:
-        ordered.SMALL_DISTINCT = old
+    got = ordered.exact_quantiles(df, ["a", "b", "c"], probs, n_buckets=5)
     for name, vals in (("a", a), ("b", b), ("c", c)):
         arr = np.array([v for v in vals if v is not None])
         for p in probs:
@@ -72,6 +54,17 @@ def test_running_totals_bucketed_equals_window(spark):
     assert a == b
 
 
+def test_dense_index_splits_text_with_a_common_prefix(spark):
+    """Values that share a long prefix lie in several ranges; a NULL group is a group of its own."""
+    rows = [(g, f"CUSTOMER_{i:05d}") for g in ("a", None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, v string")
+    out = ordered.dense_index(df, "v", by=["g"], n_buckets=6)
+    assert sorted((r.g or "", r.v, r["index"]) for r in out.collect()) == sorted(
+        (g or "", v, int(v[-5:])) for g, v in rows)
+    ranges = df.repartitionByRange(6, "g", "v").select(F.spark_partition_id().alias("p")).groupBy("p").count()
+    assert max(r["count"] for r in ranges.collect()) < 1500
+
+
 def _txn(spark, rows):
     return spark.createDataFrame(rows, "RIMNO long, billing_amt double, ccy string, reversal_flag string, "
                                        "merch_id string, mcc string, trxn_date timestamp_ntz")
