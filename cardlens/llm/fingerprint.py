@@ -183,38 +183,35 @@ def versions(docs: DataFrame) -> DataFrame:
         f"'vx', {_let('cx', _let('ks', plain('q.x'), sketch('ks')), compare('q.a', 'ca', 'q.x', 'cx'))})")))
     first = materialise(
         both.select("_id", "n_chars", "edited_sha256", F.expr(_let("q", "keys", row)).alias("v"))
-        .select("_id", "n_chars", "edited_sha256", "v.*", F.monotonically_increasing_id().alias("_row")), "fp-first")
-    more = _retried(first)
-    out = first if more is None else first.join(more, "_row", "left")
-    extra = (lambda c: "0L") if more is None else (lambda c: f"coalesce({c}, 0L)")
-    return out.select(
+        .select("_id", "n_chars", "edited_sha256", "v.*"), "fp-first")
+    return _retried(first).select(
         F.expr(f"if(_id = {_NO_ID + 1} - 1, null, _id)").alias("doc_id"), "n_chars", "edited_sha256",
         F.col("f").alias("fingerprint"), F.col("ef").alias("edited_fingerprint"),
-        F.expr(_likeness("na", "ne", f"(ve.d + {extra('de')})")).alias("near_edited"),
-        F.expr(_likeness("na", "nx", f"(vx.d + {extra('dx')})")).alias("near_next"))
+        F.expr(_likeness("na", "ne", "ve.d")).alias("near_edited"),
+        F.expr(_likeness("na", "nx", "vx.d")).alias("near_next"))
 
 
-def _retried(first: DataFrame) -> DataFrame | None:
-    """_row, de, dx: differing keys of the blocks that failed at first, from larger sketches under new hashes."""
-    failed = F.array(F.struct(F.lit("e").alias("kind"), F.col("ve.bad").alias("sk")),
-                     F.struct(F.lit("x").alias("kind"), F.col("vx.bad").alias("sk")))
-    left = materialise(first.select("_row", F.explode(failed).alias("r")).select("_row", "r.*").where("size(sk) > 0"),
-                       "fp-failed")
-    done = None
+def _retried(first: DataFrame) -> DataFrame:
+    """The rows of ``first``, blocks that failed counted again in larger sketches under new hashes.
+
+    A row that failed is carried whole from turn to turn, so nothing is shuffled or joined.
+    """
+    names = [c for c in first.columns if c not in ("ve", "vx")]
+    failed = "size(ve.bad) > 0 OR size(vx.bad) > 0"
+    out, left = first.where(f"NOT ({failed})"), first.where(failed)
     for turn in range(1, MAX_RETRIES + 1):
         if left.isEmpty():
-            break
-        fresh = f"transform(transform(sk, x -> named_struct('k', xxhash64(x.k, {turn}), 's', x.s)), x -> {_key('x.k', 'x.s')})"
-        tried = materialise(left.select("_row", "kind", F.expr(_large(fresh, 2)).alias("v")), "fp-retried")
-        found = tried.select("_row", "kind", "v.d")
-        done = found if done is None else done.union(found)
-        left = tried.where("size(v.bad) > 0").select("_row", "kind", F.col("v.bad").alias("sk"))
-    else:
-        raise RuntimeError("a sketch does not peel")
-    if done is None:
-        return None
-    of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("d")).otherwise(F.lit(0).cast("long")))
-    return done.groupBy("_row").agg(of("e").alias("de"), of("x").alias("dx"))
+            return out
+
+        def again(v: str, turn: int = turn) -> str:
+            fresh = (f"transform(transform({v}.bad, x -> named_struct('k', xxhash64(x.k, {turn}), 's', x.s)), "
+                     f"x -> {_key('x.k', 'x.s')})")
+            more = _let("w", _large(fresh, 2), f"named_struct('d', {v}.d + w.d, 'bad', w.bad)")
+            return f"if(size({v}.bad) = 0, {v}, {more}) AS {v}"
+
+        tried = materialise(left.selectExpr(*names, again("ve"), again("vx")), "fp-retried")
+        out, left = out.unionByName(tried.where(f"NOT ({failed})")), tried.where(failed)
+    raise RuntimeError("a sketch does not peel")
 
 
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
