@@ -9,8 +9,9 @@ a name of the title's gender in the script of the original.
 The same entity gets the same surrogate in every document (coreference), so no table of all
 entities travels: a surrogate is a function of key and entity. Collision checks over all distinct
 entities of the corpus find those whose surrogate equals another entity's surrogate or a real
-entity; all but one of them draw again until none collide (distinctness). Only the entities that
-drew again are looked up when texts are rewritten.
+entity; all but one of them draw again until none collide (distinctness). The space of values grows
+with the draws (more syllables, longer local parts, more digits), so there is always room. Only the
+entities that drew again are looked up when texts are rewritten.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from cardlens.llm.common import as_bytes, column_or, materialise, ready, table
 
 #: Redrawn entities that are broadcast at most (some 100 bytes each); more are joined per text.
 MAX_BROADCAST = 200_000
-MAX_DRAWS = 64
+#: Redraws that keep the length of a number or secret; each further one adds a digit or letter.
+SAME_LENGTH = 4
 
 # Given names and family names that surrogates are composed of, by script and gender.
 NAMES = {
@@ -145,25 +147,28 @@ def _script(word: str) -> str:
 
 
 def surrogate(key: bytes, kind: str, entity: str, draw: int = 0) -> str:
-    """The canonical surrogate of a canonical entity."""
+    """The canonical surrogate of a canonical entity; its space grows with the draws."""
     s = _Stream(key, f"{kind}\0{draw}\0{entity}")
+    more = max(0, draw - SAME_LENGTH)
     if kind == "email":
         local, _, domain = entity.partition("@")
         host, _, top = domain.rpartition(".")
         # the domain is an entity of its own: the same for all its addresses
-        return f"{_like(s, local)}@{_like(_Stream(key, 'domain' + chr(0) + host), host)}.{top}"
+        return f"{_like(s, local + 'x' * draw)}@{_like(_Stream(key, 'domain' + chr(0) + host), host)}.{top}"
+    if kind == "ip" and more:  # IPv4 is full: a unique local IPv6 address
+        return "fd%02x:" % s.below(256) + ":".join("%x" % s.below(1 << 16) for _ in range(7))
     if kind == "ip":
         parts = [s.below(223) + 1, s.below(256), s.below(256), s.below(254) + 1]
         return ".".join(map(str, parts))
     if kind == "phone":
         keep = len(entity) - 10 if len(entity) > 10 else 1  # the country code
-        body = [str(2 + s.below(8))] + [str(s.below(10)) for _ in entity[keep + 1:]]
+        body = [str(2 + s.below(8))] + [str(s.below(10)) for _ in range(len(entity) - keep - 1 + more)]
         return entity[:keep] + "".join(body)
     if kind == "card":
-        body = entity[0] + "".join(str(s.below(10)) for _ in entity[1:-1])
+        body = entity[0] + "".join(str(s.below(10)) for _ in range(len(entity) - 2 + more))
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
     if kind == "secret":
-        return _hexlike(s, entity)
+        return _hexlike(s, entity + ("a" if re.fullmatch(r"[0-9a-f]+", entity) else "x") * more)
     words, gender = entity.split(" "), kind[-1]
     out = []
     for i, w in enumerate(words):
@@ -173,7 +178,7 @@ def surrogate(key: bytes, kind: str, entity: str, draw: int = 0) -> str:
             out.append(pool[s.below(len(pool))])
         else:
             pool = SYLLABLES[script]
-            out.append("".join(pool[s.below(len(pool))] for _ in range(3)).capitalize())
+            out.append("".join(pool[s.below(len(pool))] for _ in range(3 + draw)).capitalize())
     return " ".join(out)
 
 
@@ -181,7 +186,7 @@ def render(kind: str, entity: str, new: str) -> str:
     """The canonical surrogate in the format of the entity as it was written."""
     if kind in ("phone", "card"):
         digits = iter(new)
-        return "".join(next(digits) if c.isdigit() else c for c in entity)
+        return "".join(next(digits) if c.isdigit() else c for c in entity) + "".join(digits)
     if kind == "email" and entity != entity.lower():
         return new.upper() if entity == entity.upper() else new
     return new
@@ -222,11 +227,14 @@ def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def resolve(docs: DataFrame, key: bytes) -> DataFrame:
-    """kind, entity, draw of the entities that had to draw again (draw > 0)."""
+    """kind, entity, draw of the entities that had to draw again (draw > 0).
+
+    Ends for any number of entities: each round's draws come from a space at least ten times as large.
+    """
     distinct = materialise(_entities(docs).distinct().withColumn("draw", F.lit(0)), "pii-entities")
     current = materialise(_drawn(distinct, key), "pii-drawn")
     real = distinct.select("kind", F.col("entity").alias("new"), F.lit(True).alias("real"))
-    for _ in range(MAX_DRAWS):
+    while True:
         # names of both genders share one space, so a surrogate never stands for two people
         space = F.substring_index("kind", "-", 1)
         # the entity that has drawn most often, then the smallest, keeps a disputed surrogate
@@ -246,7 +254,6 @@ def resolve(docs: DataFrame, key: bytes) -> DataFrame:
             again.where("NOT again").drop("again").union(
                 _drawn(again.where("again").select("kind", "entity", (F.col("draw") + 1).alias("draw")), key)),
             "pii-drawn")
-    raise RuntimeError("surrogates still collide: a format has too few values for its entities")
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:

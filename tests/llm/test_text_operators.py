@@ -151,6 +151,32 @@ def crowded(key, kind, entity, draw=0):
     return f"1.1.1.{h[0]}"
 
 
+def alphabetic(i, letters="abcdefghij"):
+    return "".join(letters[int(c)] for c in f"{i:05d}")
+
+
+def test_pii_space_grows_beyond_its_first_size(spark):
+    """More titled surnames, short phone numbers, two-letter mail names and secrets than a first draw has values."""
+    rows = [(i, f"Mr. S{alphabetic(i)} and Frau F{alphabetic(i)} spoke.") for i in range(6000)]
+    rows += [(10**5 + i, f"call +1 {i // 100:02d} {i % 100:02d} now") for i in range(9990)]
+    rows += [(2 * 10**5 + i, f"mail {chr(97 + i // 26)}{chr(97 + i % 26)}@x.org") for i in range(676)]
+    rows += [(3 * 10**5 + i, f"token=________{i}") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r.text for r in pii.pseudonymise(docs, "k").collect()}
+    old, new = [{e for t in texts for _, _, k, e in pii.detect(t)} for texts in ([t for _, t in rows], got.values())]
+    assert len(old) == 2 * 6000 + 9990 + 676 + 10
+    assert len(new) == len(old) and not old & new
+    assert re.fullmatch(r"Mr\. [A-Z][a-z]+ and Frau [A-Z][a-z]+ spoke\.", got[17])
+    assert all(re.fullmatch(r"call \+1 \d\d \d{2,9} now", got[10**5 + i]) for i in range(9990))
+
+
+def test_pii_full_address_space_has_room():
+    far = {pii.surrogate(b"k", "ip", "1.2.3.4", d) for d in range(20)}
+    assert len(far) == 20 and sum(":" in a for a in far) == 20 - pii.SAME_LENGTH - 1
+    assert len(pii.surrogate(b"k", "card", "4111111111111111", 10)) == 22
+    assert all(pii.luhn(pii.surrogate(b"k", "card", "4111111111111111", d)) for d in range(12))
+
+
 # --- fingerprints --------------------------------------------------------------------------
 
 PIECE = re.compile(r"[^ \t\n\x0b\f\r]+(?:[ \t\x0b\f\r]+[^ \t\n\x0b\f\r]+){0,15}")
