@@ -52,12 +52,12 @@ TITLES = {"Mr": "m", "Mr.": "m", "Herr": "m", "Señor": "m", "Sr.": "m", "Monsie
 _NAME_WORD = r"[^\W\d_][^\W\d_'’-]+"
 _PATTERN = re.compile("|".join((
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24})",
-    r"(?P<secret>(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+    r"(?P<secret>(?i:(?P<word>password|passwd|pwd)|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}(?P<quote>[\"'])?"
     r"(?P<value>[A-Za-z0-9+/_\-]{8,}))",
     r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))",
     r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
     r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))",
-    r"(?P<card>(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d))",
+    r"(?P<card>(?:(?<![\w.+-])|(?<=\d-))\d(?:[ -]?\d){12,18}(?!\w|\.\d))",
     r"(?P<name>(?<!\w)(?P<title>" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + r")"
     r" (?P<person>" + _NAME_WORD + r"(?: " + _NAME_WORD + r")?))",
 )))
@@ -73,16 +73,31 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _card(run: str) -> str | None:
+    """The longest start of a run of digit groups that ends with a group, has 13 digits or more and the Luhn sum."""
+    for end in (len(run), *(m.start() for m in reversed(list(re.finditer("[ -]", run))))):
+        digits = re.sub(r"\D", "", run[:end])
+        if len(digits) < 13:
+            return None
+        if len(set(digits)) > 1 and luhn(digits):
+            return run[:end]
+    return None
+
+
 def detect(text: str | None):
     """(start, end, type, entity) of every entity, left to right, without overlaps."""
     if not text or not _HINT.search(text):
         return
-    for m in _PATTERN.finditer(text):
+    at = 0
+    while m := _PATTERN.search(text, at):
+        at = m.end()
         kind = m.lastgroup if m.lastgroup in ("email", "ip", "phone", "card") else None
         if m.group("secret"):
             value = m.group("value")
-            if any(c.isdigit() for c in value):
+            if m.group("word") or m.group("quote") or any(c.isdigit() for c in value):
                 yield m.start("value"), m.end("value"), "secret", value
+            else:
+                at = m.start("value")  # it may hold another entity
         elif m.group("name"):
             words = m.group("person").split(" ")
             named = [w for w in words if w[0].isupper() and not w.isupper()]
@@ -91,8 +106,12 @@ def detect(text: str | None):
                 start = m.start("person")
                 yield start, start + len(person), "name-" + TITLES[m.group("title")], person
         elif kind == "card":
-            if luhn(re.sub(r"\D", "", m.group())) and len(set(m.group())) > 2:
-                yield m.start(), m.end(), kind, m.group()
+            run = m.group()
+            if card := _card(run):
+                at = m.start() + len(card)
+                yield m.start(), at, kind, card
+            else:  # a card or another number may begin with the next group
+                at = m.start() + len(re.match(r"\d+", run).group())
         elif kind:
             yield m.start(), m.end(), kind, m.group()
 

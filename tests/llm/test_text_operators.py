@@ -170,6 +170,25 @@ def test_pii_space_grows_beyond_its_first_size(spark):
     assert all(re.fullmatch(r"call \+1 \d\d \d{2,9} now", got[10**5 + i]) for i in range(9990))
 
 
+@pytest.mark.parametrize("text, found", [
+    ("pay 4111111111111111 123 now", ["4111111111111111"]),
+    ("pay 4111 1111 1111 1111 12/27", ["4111 1111 1111 1111"]),
+    ("2 4111111111111111", ["4111111111111111"]),
+    ("no. 2-4111111111111111", ["4111111111111111"]),
+    ("4111-1111-1111-1111-12345", ["4111-1111-1111-1111"]),
+    ("1234 5678 9012 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+    ("4111111111111111 5500005555555559", ["4111111111111111", "5500005555555559"]),
+    ("2 375-555-4393 41", ["375-555-4393"]),
+    ("8007782375593431 123 is none", []),
+    ("password=correcthorsebattery", ["correcthorsebattery"]),
+    ('token = "abcdefghij"', ["abcdefghij"]),
+    ("token: alice-bob@example.com", ["alice-bob@example.com"]),
+    ("secret: understanding", []),
+])
+def test_pii_beside_other_numbers_and_words(text, found):
+    assert [e for *_, e in pii.detect(text)] == found
+
+
 def test_pii_full_address_space_has_room():
     far = {pii.surrogate(b"k", "ip", "1.2.3.4", d) for d in range(20)}
     assert len(far) == 20 and sum(":" in a for a in far) == 20 - pii.SAME_LENGTH - 1
