@@ -10,7 +10,9 @@
    with the overall winner, then with the page's own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
-left out wherever they lie, by element, role and class or id words.
+left out wherever they lie, by element, role and class or id words. Such a word counts as a whole name
+or as the last part of one (``site-header``, not ``has-header`` or ``search-results``), and a container
+of most of the page's text is not left out for the last part of a name, nor if it holds the headline.
 """
 
 from __future__ import annotations
@@ -40,6 +42,10 @@ BOILER = frozenset("ad ads advert adverts advertisement advertising banner bread
                    "nav navbar navigation newsletter notice notices alert pager pagination popup promo promoted "
                    "related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe "
                    "toolbar widget contentinfo complementary search".split())
+# Parts of a name that say what an element lacks or only goes with, and those of a headline's own header.
+APART = frozenset("has no non not with without".split())
+HEADLINE = frozenset("article content entry hentry page post story title".split())
+LAYOUT = frozenset("area bar box buttons icons items links list panel slot unit".split())  # nav-links is a nav
 _CLOSES_P = BLOCK - {"html", "body"}
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
               "th": {"td", "th"}, "option": {"option"}}
@@ -48,29 +54,43 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*)"
                     r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
-                   re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[-_]+")
 
 
-def _marked(attrs: str, tag: str) -> tuple[str, bool]:
-    """(path step, whether the element is boilerplate by its attributes)."""
+def _boiler(name: str) -> str | None:
+    """Whether a class, id or role (lower case) marks no main text: as a whole, by its last part, or not at all."""
+    parts = [p for p in (q.strip("0123456789") for q in _PARTS.split(name.split("--")[0])) if p.isalpha()]
+    if len(parts) > 1 and parts[-1] in LAYOUT:
+        parts.pop()
+    if not parts or parts[-1] not in BOILER or not APART.isdisjoint(parts):
+        return None
+    if parts[-1] == "header" and not HEADLINE.isdisjoint(parts):
+        return None
+    return "whole" if BOILER.issuperset(parts) else "part"
+
+
+def _marked(attrs: str, tag: str) -> tuple[str, bool, str | None]:
+    """(path step, whether the element is hidden, how its class, id or role marks it as boilerplate)."""
     if not attrs or attrs.isspace():
-        return tag, False
-    step, bad = tag, False
+        return tag, False, None
+    step, hidden, marks = tag, False, set()
     for name, a, b, c in _ATTR.findall(attrs):
-        value = (a or b or c).lower()
         name = name.lower()
+        if name not in ("class", "id", "role", "hidden", "aria-hidden", "style"):
+            continue
+        value = (a or b or c).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" \
                 or name == "style" and "display:none" in value.replace(" ", ""):
-            bad = True
+            hidden = True
         elif name in ("class", "id", "role"):
-            if name == "class" and value.split():
-                step = f"{tag}.{re.sub('[0-9]+', '0', value.split()[0])}"
-            if tag not in ("html", "body", "article", "main") and not BOILER.isdisjoint(_WORDS.findall(value)):
-                bad = True
-    return step, bad
+            names = value.split()
+            if name == "class" and names:
+                step = f"{tag}.{re.sub('[0-9]+', '0', names[0])}"
+            if tag not in ("html", "body", "article", "main"):
+                marks.update(map(_boiler, names))
+    return step, hidden, "whole" if "whole" in marks else "part" if "part" in marks else None
 
 
 def blocks(page: str | None):
@@ -80,7 +100,24 @@ def blocks(page: str | None):
     """
     if not page:
         return
-    stack: list[tuple[str, str, bool]] = []  # tag, step, boilerplate from here on
+    marks: list[list] = []
+    found = list(_blocks(page, marks, frozenset()))
+    if marks:
+        most = (sum(len(text) for _, text, _ in found) + sum(m[2] for m in marks)) / 2
+        spared = {m[0] for m in marks if m[1] > most and (m[3] == "part" or m[4] or not found)}
+        if spared:
+            found = list(_blocks(page, [], spared))
+    yield from found
+
+
+def _blocks(page: str, marks: list[list], spared):
+    """The blocks of a page; elements that start at a position in ``spared`` are no boilerplate by their names.
+
+    ``marks`` gets, for each element left out by its name alone: its position, the characters of text
+    in it and in it alone (in no such element inside), the kind of mark, whether it holds h1 or main.
+    """
+    open_marks: list[tuple[int, list]] = []  # stack depth, mark
+    stack: list[tuple[str, str, bool, bool]] = []  # tag, step, left out from here on, also but for names
     parts: list[str] = []
     links = linked = at = 0
 
@@ -89,13 +126,15 @@ def blocks(page: str | None):
         text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip() if parts else ""
         count, parts, linked = linked, [], 0
         if text:
-            return tuple(s for t, s, _ in stack if t in CONTAINERS), text, count
+            return tuple(s for t, s, *_ in stack if t in CONTAINERS), text, count
         return None
 
     def close(depth):
         nonlocal links
-        links -= sum(t == "a" for t, _, _ in stack[depth:])
+        links -= sum(t == "a" for t, *_ in stack[depth:])
         del stack[depth:]
+        while open_marks and open_marks[-1][0] >= depth:
+            open_marks.pop()
 
     while True:
         m = _TOKEN.search(page, at)
@@ -103,6 +142,11 @@ def blocks(page: str | None):
         if end > at and not (stack and stack[-1][2]):
             parts.append(page[at:end])
             linked += (end - at) * bool(links)
+        elif end > at and open_marks and not stack[-1][3]:
+            n = len(page[at:end].strip())
+            open_marks[-1][1][2] += n
+            for _, mark in open_marks:
+                mark[1] += n
         if m is None:
             break
         at = m.end()
@@ -137,8 +181,8 @@ def blocks(page: str | None):
                 break
             if stack[depth][0] in _SCOPE[tag]:
                 break
-        step, bad = _marked(m.group("attrs"), tag)
-        inside = [t for t, _, _ in stack]
+        step, hidden, kind = _marked(m.group("attrs"), tag)
+        inside = [t for t, *_ in stack]
         # an article's own header holds its headline; those of the page and its sections do not
         dropped = tag in DROP and not (tag == "header" and "article" in inside)
         if m.group("attrs").endswith("/") and tag not in BLOCK:
@@ -149,7 +193,15 @@ def blocks(page: str | None):
             at = close_at.end() if close_at else len(page)
             continue
         nested = tag == "article" and "article" in inside  # an article within the article: a reader's comment
-        stack.append((tag, step, dropped or bad or nested or bool(stack and stack[-1][2])))
+        hard = dropped or hidden or nested or bool(stack and stack[-1][3])
+        named = bool(kind) and m.start() not in spared
+        if tag in ("h1", "main") and not hard:
+            for _, mark in open_marks:
+                mark[4] = True
+        if named and not hard:
+            open_marks.append((len(stack), [m.start(), 0, 0, kind, False]))
+            marks.append(open_marks[-1][1])
+        stack.append((tag, step, hard or named or bool(stack and stack[-1][2]), hard))
         links += tag == "a"
     if found := flush():
         yield found

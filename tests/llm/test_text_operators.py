@@ -271,6 +271,28 @@ def test_html_extraction(spark):
     assert html_extract.extract_pages(pages.limit(0)).count() == 0
 
 
+STORY = "<h1>Head</h1><p>A story of some length. It goes on.</p>"
+
+
+@pytest.mark.parametrize("body, text", [
+    (f"<div class='content has-sidebar'>{STORY}</div>", "Head\nA story of some length. It goes on."),
+    (f"<div class='page no-header'>{STORY}</div>", "Head\nA story of some length. It goes on."),
+    ("<article><div class='entry-header'><h1>Head</h1></div><p>Body text. Yes.</p></article>", "Head\nBody text. Yes."),
+    (f"<section id='search-results'>{STORY}</section>", "Head\nA story of some length. It goes on."),
+    ("<p class='related-work'>Related work. Much of it.</p>", "Related work. Much of it."),
+    ("<p>See <a href='/hidden-gems'>the gems</a> here.</p>", "See the gems here."),
+    (f"<div data-title='The hidden room' data-style='overflow:hidden'>{STORY}</div>", "Head\nA story of some length. It goes on."),
+    (f"<div title='class=ad id=menu hidden'>{STORY}</div>", "Head\nA story of some length. It goes on."),
+    (f"<div class='story-widget'>{STORY}</div><p>Tail.</p>", "Head\nA story of some length. It goes on.\nTail."),
+    (f"<div class='search'>{STORY}</div>", "Head\nA story of some length. It goes on."),
+    (f"<main>{STORY}<div class='site-footer'>We. Foot.</div><div hidden>H.</div><div class='widget-3'>W. W.</div><ul class='nav-links'><li>N</ul>"
+     "<div style='color:red; display: none'>N.</div><div class='cookie-notice'>" + "Cookies. " * 90 + "</div></main>",
+     "Head\nA story of some length. It goes on."),
+])
+def test_html_names_mark_only_what_they_name(body, text):
+    assert html_extract.extract(page(body)) == text
+
+
 def test_html_host_consensus_beats_a_page(spark):
     """A page whose aside-like block is longer than its story follows the path that its host votes for."""
     story = "<div class='story-{0}'><p>{1}</p></div><div class='extra'><p>{2}</p></div>"
