@@ -1,14 +1,15 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in Spark SQL alone.
 
-A text is cut into lines and these into pieces of up to PIECE_WORDS words; the distinct 64-bit
+A text is cut into lines and these into pieces of up to so many words; the distinct 64-bit
 digests of the pieces are its keys. A sketch has CELLS cells in three rows; each key is added to
 one cell of every row as (count, xor of keys, xor of checks). Equal texts have equal sketches.
 
-Two versions are compared by subtracting their sketches cell by cell: keys that both hold cancel.
+Two versions are compared by the difference of their sketches, in which keys that both hold cancel;
+sketches are linear, so it is the signed sketch of the keys that differ, and only these are added.
 Peeling then takes a cell that holds a single key, notes the key and removes it from its other
 cells, until nothing is left or no such cell exists. In the latter case the pair is tried again
-with a larger sketch: blocks of CELLS cells, as many as the two key sets need, each taking the
-keys whose first bits name it. Blocks that fail are tried again with new hashes and more blocks,
+with a larger sketch of the keys that only one of them holds: blocks of CELLS cells, as many as
+these keys need, each taking the keys whose first bits name it. Blocks that fail are tried again with new hashes and more blocks,
 until every differing key is recovered; so likeness is exact for the digests.
 
 All of this runs in higher-order functions on arrays of one row; a text is dealt once, by doc_id.
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from cardlens.llm.common import column_or, materialise, table
 
-PIECE_WORDS = 16
+#: Words of a piece in the query; ``versions`` takes any number.
+PIECE_WORDS = 8
 ROW_CELLS = 8
 CELLS = 3 * ROW_CELLS
 #: Keys of both versions for each block of a larger sketch, on average.
@@ -38,9 +40,9 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def keys_of(text: str) -> str:
+def keys_of(text: str, words: int) -> str:
     """SQL: sorted distinct piece digests of a text expression."""
-    piece = r"\\S+(?:[^\\S\\n]+\\S+){0,%d}" % (PIECE_WORDS - 1)
+    piece = r"\\S+(?:[^\\S\\n]+\\S+){0,%d}" % (words - 1)
     return f"array_sort(array_distinct(transform(regexp_extract_all({text}, '{piece}', 0), p -> xxhash64(p))))"
 
 
@@ -112,14 +114,19 @@ def _large(signed: str, per_block: int = BLOCK_KEYS) -> str:
 
 
 def _signed(plus: str, minus: str) -> str:
-    return f"concat(transform({plus}, x -> {_key('x', '1')}), transform({minus}, x -> {_key('x', '-1')}))"
+    """SQL: the keys that only one of two versions holds, signed."""
+    return (f"concat(transform(array_except({plus}, {minus}), x -> {_key('x', '1')}), "
+            f"transform(array_except({minus}, {plus}), x -> {_key('x', '-1')}))")
 
 
-def compare(mine: str, mine_cells: str, other: str, other_cells: str) -> str:
-    """SQL: struct(d, bad) of two key arrays: their sketches first, then the larger one."""
+def compare(only: str, cells: str) -> str:
+    """SQL: struct(d, bad) of the signed keys that differ: their sketch first, then the larger one.
+
+    Peeling empties a cell for each key, so more keys than cells go to the larger sketch at once.
+    """
     none = f"cast(array() as array<{_KEY}>)"
-    return _let("r", peel(subtract(mine_cells, other_cells)),
-                f"if(r.ok, named_struct('d', cast(r.d as bigint), 'bad', {none}), {_large(_signed(mine, other))})")
+    small = f"if(size({only}) > {CELLS}, named_struct('ok', false, 'd', 0), {peel(cells)})"
+    return _let("r", small, f"if(r.ok, named_struct('d', cast(r.d as bigint), 'bad', {none}), {_large(only)})")
 
 
 def _likeness(a: str, b: str, d: str) -> str:
@@ -143,10 +150,10 @@ def next_ids(docs: DataFrame, parts: int) -> DataFrame:
     return ranged.select("_id", "n", F.coalesce(inside, F.create_map(*after)[F.col("p")]).alias("_next"))
 
 
-def versions(docs: DataFrame) -> DataFrame:
+def versions(docs: DataFrame, words: int = 16) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next per row of ``docs``.
 
-    The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or
+    Pieces have up to ``words`` words. The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or
     all) of the next document, by ascending doc_id, after the last the first.
 
     * NULL text counts as empty. An only document is its own next one.
@@ -166,21 +173,22 @@ def versions(docs: DataFrame) -> DataFrame:
     one = F.row_number().over(Window.partitionBy("_id", "_to").orderBy("text"))
     sent = (d.join(asked, "_id").withColumn("_r", one).where("_r = 1")
             .select(F.col("_to").alias("_id"), F.substring("text", F.lit(1), F.col("k")).alias("opening"),
-                    F.expr(keys_of("text")).alias("next_keys")))
+                    F.expr(keys_of("text", words)).alias("next_keys")))
     quarter = F.floor(F.length("text") / 4).cast("int")
     both = (d.join(sent, "_id").withColumn("n_chars", F.length("text").cast("long"))
             .withColumn("edited", F.concat(F.substring("text", F.lit(1), F.length("text") - quarter),
                                            F.substring("opening", F.lit(1), quarter)))
             .select("_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                    F.struct(F.expr(keys_of("text")).alias("a"), F.expr(keys_of("edited")).alias("e"),
+                    F.struct(F.expr(keys_of("text", words)).alias("a"), F.expr(keys_of("edited", words)).alias("e"),
                              F.col("next_keys").alias("x")).alias("keys")))
     plain = lambda k: f"transform({k}, v -> {_key('v', '1')})"
     # one let for each value that is used more than once, or it would be evaluated again and again
-    row = _let("ca", _let("ks", plain("q.a"), sketch("ks")), _let("ce", _let("ks", plain("q.e"), sketch("ks")), (
-        f"named_struct('f', {rendered('ca')}, 'ef', {rendered('ce')}, "
+    # sketches are linear: that of the edited text is that of the text less that of the keys that differ
+    row = _let("ca", _let("ks", plain("q.a"), sketch("ks")), _let("se", _signed("q.a", "q.e"), _let("de", sketch("se"), (
+        f"named_struct('f', {rendered('ca')}, 'ef', {rendered(subtract('ca', 'de'))}, "
         "'na', size(q.a), 'ne', size(q.e), 'nx', size(q.x), "
-        f"'ve', {compare('q.a', 'ca', 'q.e', 'ce')}, "
-        f"'vx', {_let('cx', _let('ks', plain('q.x'), sketch('ks')), compare('q.a', 'ca', 'q.x', 'cx'))})")))
+        f"'ve', {compare('se', 'de')}, "
+        f"'vx', {_let('sx', _signed('q.a', 'q.x'), compare('sx', sketch('sx')))})"))))
     first = materialise(
         both.select("_id", "n_chars", "edited_sha256", F.expr(_let("q", "keys", row)).alias("v"))
         .select("_id", "n_chars", "edited_sha256", "v.*"), "fp-first")
@@ -216,4 +224,4 @@ def _retried(first: DataFrame) -> DataFrame:
 
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``."""
-    return versions(table(spark, sf_dir, "documents"))
+    return versions(table(spark, sf_dir, "documents"), PIECE_WORDS)

@@ -236,6 +236,14 @@ def test_fingerprint_corner_tables(spark):
     assert sorted(str(r.doc_id) for r in got) == ["1", "1", "1", "2", "None"]
 
 
+def test_fingerprint_query_sees_what_short_texts_share(spark, tmp_path):
+    """Three quarters of a text of 16 words are equal after the edit: one of its pieces at least."""
+    rows = [(i, " ".join(f"w{i}x{j:02d}" for j in range(16))) for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = fingerprint.op4_fingerprint(spark, str(tmp_path)).collect()
+    assert [r.near_edited for r in got] == [pytest.approx(1 / 3)] * 6 and all(r.near_next == 0 for r in got)
+
+
 def test_fingerprint_is_native(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     plan = fingerprint.versions(docs)._jdf.queryExecution().executedPlan().toString()
