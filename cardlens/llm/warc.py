@@ -11,6 +11,7 @@ Files are opened through ``pyarrow.fs``, so the folder may lie in any store it k
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +35,7 @@ CHUNK = 1 << 20
 HEADERS = {"record_id": "WARC-Record-ID", "record_type": "WARC-Type", "target_uri": "WARC-Target-URI",
            "payload_digest": "WARC-Payload-Digest", "payload_bytes": "X-Payload-Length", "refers_to": "WARC-Refers-To"}
 _BEGIN = b"WARC/1.1\r\n"
+_VERSION = re.compile(rb"WARC/1\.\d+\r\n")
 _DATE = "1970-01-01T00:00:00Z"  # capture times are not part of the data; a fixed one keeps reruns alike
 
 
@@ -72,6 +74,8 @@ def parse_header(block: bytes) -> dict:
     row = {k: _unescape(v) if v is not None else None for k, v in row.items()}
     row["payload_bytes"] = int(row["payload_bytes"]) if row["payload_bytes"] is not None else None
     row["length"] = int(found[b"content-length"])
+    if row["payload_bytes"] is None and row["record_type"] != "revisit":  # other writers' archives
+        row["payload_bytes"] = row["length"]
     return row
 
 
@@ -88,6 +92,8 @@ class _Plain:
             seen = len(self.held)
             more = self.file.read(65536)
             if not more:
+                if self.held.strip(b"\r\n"):
+                    raise ValueError("truncated record")
                 return None
             self.held += more
         return self._take(i + len(mark))
@@ -133,6 +139,7 @@ class _Gzip(_Plain):
 class _Inflate:
     def __init__(self, file):
         self.file, self.zip, self.rest = file, zlib.decompressobj(31), b""
+        self.inside = False  # of a member
 
     def tell(self) -> int:
         return 0
@@ -140,9 +147,12 @@ class _Inflate:
     def read(self, n: int) -> bytes:
         while True:
             raw = self.rest or self.file.read(CHUNK)
-            if not raw:
+            if not raw and not self.inside:
                 return b""
             out = self.zip.decompress(raw, n)
+            if not raw and not out and not self.zip.eof:
+                raise ValueError("truncated archive")
+            self.inside = not self.zip.eof
             self.rest = self.zip.unconsumed_tail
             if self.zip.eof:
                 self.rest = self.zip.unused_data
@@ -158,19 +168,24 @@ def read_records(file, wanted, payload: bool, gzip: bool) -> Iterator[dict]:
         block = source.until(b"\r\n\r\n")
         if block is None:
             return
-        if not block.startswith(_BEGIN):
+        if not _VERSION.match(block):
             raise ValueError(f"not a WARC record at byte {source.at}")
         row = parse_header(block[:-4])
         size = row.pop("length")
         if wanted(row):
             if payload:
-                row["payload"] = source.take(size) if row["record_type"] != "revisit" else None
+                block = source.take(size)
+                row["payload"] = block if row["record_type"] != "revisit" else None
             else:
                 source.skip(size)
-            yield row
         else:
             source.skip(size)
-        source.skip(4)
+            row = None
+        # read, not skipped: a skip past the end shows here
+        if source.take(4) != b"\r\n\r\n":
+            raise ValueError(f"no end of a WARC record before byte {source.at}")
+        if row is not None:
+            yield row
 
 
 @dataclass

@@ -171,6 +171,26 @@ def test_warc_predicates_skip_payloads(spark, tmp_path):
     assert Counting.taken < 2 << 20  # the other payloads were never read
 
 
+def test_warc_of_other_writers_and_damaged_archives():
+    import gzip
+    record = (b"WARC/1.0\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:uuid:%d>\r\nContent-Length: 300\r\n\r\n"
+              + b"x" * 300 + b"\r\n\r\n")
+    raw = [record % (kind, i) for i, kind in enumerate((b"response", b"revisit", b"response"))]
+    for zipped, data in ((False, b"".join(raw)), (True, b"".join(map(gzip.compress, raw)))):
+        for payload in (True, False):
+            def read(part, zipped=zipped, payload=payload):
+                return list(warc.read_records(io.BytesIO(part), lambda r: True, payload, zipped))
+            rows = read(data)
+            assert [(r["record_id"], r["payload_bytes"]) for r in rows] == [
+                ("<urn:uuid:0>", 300), ("<urn:uuid:1>", None), ("<urn:uuid:2>", 300)]
+            if payload:
+                assert [r["payload"] for r in rows] == [b"x" * 300, None, b"x" * 300]
+            for cut in (1, 3, 5, 100, len(data) // 3 - 5):
+                with pytest.raises(ValueError):
+                    read(data[:-cut])
+    assert list(warc.read_records(io.BytesIO(b""), lambda r: True, True, True)) == []
+
+
 # --- pipeline ------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, sf_small):
