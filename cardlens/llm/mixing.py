@@ -153,8 +153,10 @@ def _copies(size, draw, mean, lam, cut, cap):
 def _shift(keyed: DataFrame, sources: list[dict], cap: int) -> None:
     """Sets ``cut``: documents whose lag is below it get one copy more.
 
-    Passes over (source, bucket of lag) sums narrow the bucket in which the target is met.
+    Passes over (source, bucket of lag) sums narrow the bucket in which the target is met; that bucket
+    is found by running sums on Spark, so one row a source reaches the driver.
     """
+    from pyspark.sql import Window
     spark = keyed.sparkSession
     todo = [s for s in sources if s["lam"] is not None]
     for s in sources:
@@ -162,34 +164,52 @@ def _shift(keyed: DataFrame, sources: list[dict], cap: int) -> None:
     buckets = 128  # 128 ** 3 > 2 * RATE_UNIT
     while todo:
         now = spark.createDataFrame(
-            [(s["k"], s["lam"], s["mean"], s["from"], max(1, -(-s["width"] // buckets))) for s in todo],
-            "k int, lam double, mean double, first long, step long")
+            [(s["k"], s["lam"], s["mean"], s["from"], max(1, -(-s["width"] // buckets)), float(s["target"]))
+             for s in todo],
+            "k int, lam double, mean double, first long, step long, target double")
         rate = _rate(F.col("size"), F.col("mean"), F.col("lam"), cap)
-        rows = (keyed.join(F.broadcast(now), "k").withColumn("r", rate)
+        sums = (keyed.join(F.broadcast(now), "k").withColumn("r", rate)
                 .withColumn("lag", F.when(F.col("r") < cap * RATE_UNIT, _lag(F.col("draw"), F.col("r"))))
                 .withColumn("words", F.col("size") * F.col("n"))
                 # documents at the cap have no lag: a bucket beyond those that are walked
                 .withColumn("bucket", F.when(F.col("lag").isNull(), F.lit(buckets + 2)).otherwise(
                     F.least(F.greatest(F.floor((F.col("lag") - F.col("first")) / F.col("step")), F.lit(-1)),
                             F.lit(buckets + 1))))
-                .groupBy("k", "bucket").agg(
+                .groupBy("k", "target", "bucket").agg(
                     F.sum("words").alias("words"),
                     F.sum(F.when(F.col("lag").isNull(), F.col("words") * cap)
-                          .otherwise(F.col("words") * F.floor(F.col("r") / RATE_UNIT))).alias("sure")).collect())
+                          .otherwise(F.col("words") * F.floor(F.col("r") / RATE_UNIT))).alias("sure")))
+        of = Window.partitionBy("k")
+        run = of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        met = (F.col("bucket").between(0, buckets)) & (F.col("all_sure") + F.col("run") >= F.col("target"))
+        inside = F.col("bucket") <= buckets
+        found = {r["k"]: r for r in (
+            sums.withColumn("run", F.sum("words").over(run)).withColumn("all_sure", F.sum("sure").over(of))
+            .groupBy("k").agg(
+                F.max("all_sure").alias("sure"),
+                F.sum(F.when(F.col("bucket") == -1, F.col("words")).otherwise(0)).alias("low"),
+                F.sum(F.when(F.col("bucket") == 0, F.col("words")).otherwise(0)).alias("zero"),
+                F.sum(F.when(inside, F.col("words")).otherwise(0)).alias("walked"),
+                F.sum(F.when(F.col("bucket") == buckets + 1, F.col("words")).otherwise(0)).alias("beyond"),
+                F.min(F.when(met, F.struct("bucket", "run", "words"))).alias("hit")).collect())}
         rest = []
         for s in todo:
-            mine = {r["bucket"]: r["words"] for r in rows if r["k"] == s["k"]}
-            sure = sum(r["sure"] for r in rows if r["k"] == s["k"])
+            r = found.get(s["k"])
             step = max(1, -(-s["width"] // buckets))
-            have, b = sure + mine.get(-1, 0), 0
-            while b <= buckets and have + mine.get(b, 0) < s["target"]:
-                have += mine.get(b, 0)
-                b += 1
+            if r is None:  # no rows
+                have, b, here = 0, (0 if s["target"] <= 0 else buckets + 1), 0
+            elif r["sure"] + r["low"] + r["zero"] >= s["target"]:
+                have, b, here = r["sure"] + r["low"], 0, r["zero"]
+            elif r["hit"] is not None:
+                b, here = r["hit"]["bucket"], r["hit"]["words"]
+                have = r["sure"] + r["hit"]["run"] - here
+            else:
+                have, b, here = r["sure"] + r["walked"], buckets + 1, r["beyond"]
             s["from"], s["width"] = s["from"] + b * step, step
             if step > 1 and b <= buckets:
                 rest.append(s)
             else:  # one value of the lag: with it or without it, whichever lies nearer
-                with_it = have + mine.get(b, 0)
+                with_it = have + here
                 s["cut"] = s["from"] + (1 if abs(with_it - s["target"]) < abs(s["target"] - have) else 0)
         todo = rest
 

@@ -171,6 +171,22 @@ def test_warc_predicates_skip_payloads(spark, tmp_path):
     assert Counting.taken < 2 << 20  # the other payloads were never read
 
 
+def test_mix_shift_collects_one_row_a_source(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 37), f"s{i % 3}") for i in range(1500)],
+                                 "doc_id long, text string, source string")
+    kind, sizes = type(docs), []
+    collect = kind.collect
+
+    def spied(df):
+        rows = collect(df)
+        if "sure" in df.columns:
+            sizes.append(len(rows))
+        return rows
+    monkeypatch.setattr(kind, "collect", spied)
+    mixing.mix(docs).count()
+    assert sizes and max(sizes) <= 3
+
+
 def test_warc_of_other_writers_and_damaged_archives():
     import gzip
     record = (b"WARC/1.0\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:uuid:%d>\r\nContent-Length: 300\r\n\r\n"
