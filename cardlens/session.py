@@ -41,6 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -75,13 +76,14 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the executors once per application.
+    """Send this package's code to the Python workers once per application.
 
-    Python workers import functions by module name, so a cluster needs the
-    package itself; a local session shares the driver's files.
+    Workers import functions by module name. On a cluster they have no copy of
+    the package; in a local session their path holds the driver's working
+    folder at most, which need not be the one the package lies in.
     """
     sc = spark.sparkContext
-    if _single_process(spark) or sc.applicationId in _shipped:
+    if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
     path = os.path.join(tempfile.mkdtemp(prefix="cardlens-code-"), "cardlens_code.zip")
