@@ -211,12 +211,12 @@ def render(kind: str, entity: str, new: str) -> str:
     return new
 
 
-def rewrite(text: str | None, key: bytes, draws: dict[tuple[str, str], int]) -> tuple[str | None, int]:
+def rewrite(text: str | None, key: bytes, draws: dict[tuple[str, str], int], drawn=surrogate) -> tuple[str | None, int]:
     """The text with surrogates for its entities, and how many were replaced."""
     out, at, n = [], 0, 0
     for start, end, kind, entity in detect(text):
         name = canonical(kind, entity)
-        out += [text[at:start], render(kind, entity, surrogate(key, kind, name, draws.get((kind, name), 0)))]
+        out += [text[at:start], render(kind, entity, drawn(key, kind, name, draws.get((kind, name), 0)))]
         at, n = end, n + 1
     return (text, 0) if not n else ("".join([*out, text[at:]]), n)
 
@@ -234,24 +234,26 @@ def _entities(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "kind string, entity string")
 
 
-def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
+def _drawn(entities: DataFrame, key: bytes, drawn=surrogate) -> DataFrame:
     """kind, entity, draw plus ``new``, the surrogate of that draw."""
 
     @F.arrow_udf("string")
     def new(kind: pa.Array, entity: pa.Array, draw: pa.Array) -> pa.Array:
         rows = zip(kind.to_pylist(), entity.to_pylist(), draw.to_pylist(), strict=True)
-        return pa.array([surrogate(key, k, e, d) for k, e, d in rows], pa.string())
+        return pa.array([drawn(key, k, e, d) for k, e, d in rows], pa.string())
 
     return entities.withColumn("new", new("kind", "entity", "draw"))
 
 
-def resolve(docs: DataFrame, key: bytes) -> DataFrame:
+def resolve(docs: DataFrame, key: bytes, drawn=surrogate) -> DataFrame:
     """kind, entity, draw of the entities that had to draw again (draw > 0).
 
+    ``drawn(key, kind, entity, draw)`` makes the surrogates.
+
     Ends for any number of entities: each round's draws come from a space at least ten times as large.
     """
     distinct = materialise(_entities(docs).distinct().withColumn("draw", F.lit(0)), "pii-entities")
-    current = materialise(_drawn(distinct, key), "pii-drawn")
+    current = materialise(_drawn(distinct, key, drawn), "pii-drawn")
     real = distinct.select("kind", F.col("entity").alias("new"), F.lit(True).alias("real"))
     while True:
         # names of both genders share one space, so a surrogate never stands for two people
@@ -271,7 +273,7 @@ def resolve(docs: DataFrame, key: bytes) -> DataFrame:
             return current.where("draw > 0").select("kind", "entity", "draw")
         current = materialise(
             again.where("NOT again").drop("again").union(
-                _drawn(again.where("again").select("kind", "entity", (F.col("draw") + 1).alias("draw")), key)),
+                _drawn(again.where("again").select("kind", "entity", (F.col("draw") + 1).alias("draw")), key, drawn)),
             "pii-drawn")
 
 
