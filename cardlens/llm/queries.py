@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardlens.llm import (decontaminate, fingerprint, html_extract, mixing, near_dedup, pii, quality, tool_calls,
+from cardlens.llm import (decontaminate, fingerprint, html_extract, mixing, near_dedup, pii, quality, sharding, tool_calls,
                            url_filter, warc)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_tool_calls": tool_calls.op8_tool_calls,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_warc": warc.op10_warc,
+    "op12_sharding": sharding.op12_sharding,
 }
 
 ORACLE_SQL = {
