@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cardlens.llm import (decontaminate, fingerprint, html_extract, mixing, near_dedup, pii, quality, sharding, tool_calls,
-                           url_filter, warc)
+from cardlens.llm import (decontaminate, fingerprint, html_extract, merkle, mixing, near_dedup, pii, quality, sharding,
+                           tool_calls, url_filter, warc)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_warc": warc.op10_warc,
     "op12_sharding": sharding.op12_sharding,
+    "op13_merkle": merkle.op13_merkle,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op2_decontaminate": decontaminate.OP2_SQL,
     "op8_tool_calls": tool_calls.OP8_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op13_merkle": merkle.OP13_SQL,
 }
