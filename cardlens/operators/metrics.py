@@ -72,6 +72,18 @@ def ranking_metrics(df: DataFrame, y: str = "y", proba: str = "proba") -> DataFr
     )
 
 
+def auc_by(counts: DataFrame, by: list[str]) -> DataFrame:
+    """E1 for many groups at once: ``by`` and AUC (NULL without both classes), one row a group.
+
+    ``counts`` has one row per group and distinct score, with its positives and negatives (pos, neg).
+    """
+    counts = written(counts.select(*by, "score", "pos", "neg"), "score-counts")
+    ranked = running_totals(counts, "score", ["pos", "neg"], by=by)
+    num = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / F.lit(2.0)))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return ranked.groupBy(*by).agg(F.when(pairs > 0, num / pairs).alias("AUC"))
+
+
 def roc_points(df: DataFrame, y: str = "y", proba: str = "proba") -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score."""
     table, _, _ = roc_table(df, y, proba)

@@ -422,10 +422,10 @@ from cardlens.plans import training as tr  # noqa: E402
 
 
 def _prepared_split(spark, sf_dir):
-    """Labelled snapshot rows, prepared (fit on all rows) and hash-split."""
-    df = labels.with_target(prep_input(spark, sf_dir))
-    df = sp.train_test_split(df, id_cols=["o_orderkey"])
-    art = pp.fit(df, exclude=PREP_EXCLUDE + ["is_test"])
+    """Labelled rows of the joined frame (account and transaction features), prepared (fit on all rows) and hash-split."""
+    df = labels.with_target(tr.build_wide(prime_view(spark, sf_dir), txn_view(spark, sf_dir), AS_OF))
+    df = checkpoint(sp.train_test_split(df, id_cols=["o_orderkey"]))
+    art = pp.fit(df, exclude=PREP_EXCLUDE + ["is_test"], materialize=False)
     # lineage cut: the oversampler, the validation curve and the scoring read it
     prepared = checkpoint(pp.transform(df, art, keep=["o_orderkey", "target", "is_test"]))
     return prepared, art
@@ -442,13 +442,13 @@ def q_m3_smote_class_counts(spark, sf_dir):
 
 @register("m5_m10_train_score")
 def q_m5_m10_train_score(spark, sf_dir):
-    """Oversample, fit boosted trees with early stopping on the test part,
-    score the test part (no SQL twin: model internals)."""
+    """Oversample, grow boosted trees up to the original's rounds with early stopping on the AUC of
+    the test part, score the test part (no SQL twin: model internals)."""
     prepared, art = _prepared_split(spark, sf_dir)
     train = prepared.where("is_test = 0").drop("is_test")
     test = prepared.where("is_test = 1").drop("is_test")
     model = bt.train(sp.smote(train, art.feature_order, "o_orderkey"), art.feature_order,
-                     valid_df=test, max_iter=20, patience=5)
+                     valid_df=test)
     return normalise_output(model.score(test, keep=["o_orderkey", "target"]))
 
 
@@ -456,7 +456,7 @@ def q_m5_m10_train_score(spark, sf_dir):
 def q_pipeline_train_evaluate(spark, sf_dir):
     """End-to-end training pipeline on the wide frame; the hold-out metrics."""
     res = tr.run_training(prime_view(spark, sf_dir), txn_view(spark, sf_dir), AS_OF,
-                          id_cols=["o_orderkey"], max_iter=20)
+                          id_cols=["o_orderkey"])
     return normalise_output(res.metrics)
 
 
@@ -624,7 +624,7 @@ def q_m7_m8_tune(spark, sf_dir):
     the training part; the per-fold AUC table (no SQL twin)."""
     prepared, art = _prepared_split(spark, sf_dir)
     train = prepared.where("is_test = 0").drop("is_test")
-    _, table = bt.tune(train, art.feature_order, "o_orderkey", max_iter=20)
+    _, table = bt.tune(train, art.feature_order, "o_orderkey")
     return normalise_output(table)
 
 
@@ -637,7 +637,7 @@ def q_pipeline_score_latest(spark, sf_dir):
     latest = ch.latest_file(prime)
     txn = txn_view(spark, sf_dir)
     tr.run_training(prime.where(F.col("source_file") != F.lit(latest)), txn, AS_OF,
-                    id_cols=["o_orderkey"], out_dir=root, max_iter=20)
+                    id_cols=["o_orderkey"], out_dir=root)
     scores, _ = tr.run_scoring(prime.where(F.col("source_file") == F.lit(latest)), txn, AS_OF,
                                model_dir=root + "/model", out_path=root + "/latest_scores")
     return normalise_output(scores)

@@ -110,6 +110,7 @@ RANDOM_STATE = 42
 TEST_SIZE = 0.3
 NUM_BOOST_ROUND = 1000
 EARLY_STOPPING_ROUNDS = 50
+TUNE_ROUNDS = 100
 TUNE_N_ITER = 20
 TUNE_CV_FOLDS = 3
 BOOSTING_PARAMS = {
