@@ -413,6 +413,19 @@ def q_m4_knn_ties(spark, sf_dir):
                                    k=schemas.SMOTE_K_NEIGHBORS))
 
 
+@register("m4_knn_lsh")
+def q_m4_knn_lsh(spark, sf_dir):
+    """The bucketed search on every embedding, held against the exact one: neighbours wanted a label, and
+    whether at least nine of ten are found."""
+    from cardlens.operators import lsh
+    emb = read_table(spark, sf_dir, "embeddings")
+    exact, found = (nb.knn(emb, "vec_id", "embedding", group_col="label", k=schemas.SMOTE_K_NEIGHBORS, mode=m)
+                    for m in ("exact", "lsh"))
+    rows = lsh.recall(exact, found, "vec_id").join(emb.select("vec_id", "label"), "vec_id")
+    return normalise_output(rows.groupBy("label").agg(F.sum("wanted").alias("n_wanted"), F.sum("hits").alias("hits"))
+                            .select("label", "n_wanted", (F.col("hits") >= 0.9 * F.col("n_wanted")).alias("nine_of_ten")))
+
+
 # ---------------------------------------------------------------------------
 # Oversampling, boosting, pipelines
 # ---------------------------------------------------------------------------
@@ -618,6 +631,52 @@ def q_m7_draws_folds(spark, sf_dir):
         "d.draw", "d.grid_index", "fold", "n_held", "n_held_default"))
 
 
+def _auc_table(spark, sf_dir):
+    """AUC of the scored rows in groups that stand for draws, folds and rounds: draw, fold, round, auc."""
+    rows = score_view(spark, sf_dir).where("y IS NOT NULL AND proba IS NOT NULL").select(
+        (F.col("id") % 7).cast("int").alias("draw"), (F.col("id") % 3).cast("int").alias("fold"),
+        F.col("proba").alias("score"), "y")
+    counts = rows.groupBy("draw", "fold", "score").agg(
+        F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg"))
+    return mt.auc_by(counts, ["draw", "fold"])
+
+
+@register("m8_pick")
+def q_m8_pick(spark, sf_dir):
+    """The draw that a search picks from its (draw, fold, AUC) table; the AUCs are those of the scored rows."""
+    table = _auc_table(spark, sf_dir).select("draw", "fold", F.col("AUC").alias("auc"))
+    return normalise_output(bt.pick_draw(table))
+
+
+@register("m6_early_stop")
+def q_m6_early_stop(spark, sf_dir):
+    """Rounds kept under the patience rule; each round's AUC is that of a part of the scored rows."""
+    aucs = [r.AUC for r in _auc_table(spark, sf_dir).orderBy("draw", "fold").collect()]  # 21 rounds
+    kept, stopped = bt.best_prefix(aucs, patience=5)
+    rounds = spark.range(1).select(F.posexplode(F.array(*[F.lit(float(a)) for a in aucs])).alias("round", "auc"))
+    return normalise_output(rounds.select("round", "auc", (F.col("round") < kept).alias("kept"), F.lit(stopped).alias("stopped")))
+
+
+#: A fixed ensemble of three trees over three snapshot columns: tree, node, feature, threshold, low, high, value.
+FIXED_TREES = [
+    (0, 0, 0, 150000.0, 1, 2, 0.0), (0, 1, 1, 2000.0, 3, 4, 0.0), (0, 2, -1, 0.0, 2, 2, -0.25),
+    (0, 3, -1, 0.0, 3, 3, 0.5), (0, 4, -1, 0.0, 4, 4, -0.125),
+    (1, 0, 2, 30.0, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, -0.75), (1, 2, 0, 0.0, 5, 6, 0.0),
+    (1, 5, -1, 0.0, 5, 5, 1.0), (1, 6, 2, 90.0, 13, 14, 0.0), (1, 13, -1, 0.0, 13, 13, 0.25), (1, 14, -1, 0.0, 14, 14, 0.625),
+    (2, 0, -1, 0.0, 0, 0, 0.0625),
+]
+
+
+@register("m9_m10_tree_table")
+def q_m9_m10_tree_table(spark, sf_dir):
+    """A model saved as a table of nodes, loaded again and scored over every snapshot row (NULLs go high)."""
+    root = _fresh(spark, "trees")
+    cols = ["CREDIT_LIMIT", "OVERDUEAMOUNT", "DELINQUENCY"]
+    bt.TrainedModel(FIXED_TREES, cols, -0.5, 3).save(spark, root)
+    model = bt.TrainedModel.load(spark, root)
+    return normalise_output(model.score(prime_view(spark, sf_dir), keep=["o_orderkey"]), digits=6)
+
+
 @register("m7_m8_tune")
 def q_m7_m8_tune(spark, sf_dir):
     """Random search (20 draws x 3 folds, oversampling inside each fold) on

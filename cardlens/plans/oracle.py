@@ -775,6 +775,64 @@ FROM r WHERE rank <= 5
 """
 
 
+ORACLE["m4_knn_lsh"] = """
+SELECT CAST(label AS BIGINT) AS label, CAST(count(*) * least(5, count(*) - 1) AS BIGINT) AS n_wanted,
+       CAST(1 AS BIGINT) AS nine_of_ten
+FROM embeddings GROUP BY label HAVING count(*) > 1
+"""
+
+
+_AUC_TABLE = """
+pairs AS (
+  SELECT id % 7 AS draw, id % 3 AS fold, y, proba,
+         rank() OVER (PARTITION BY id % 7, id % 3 ORDER BY proba)
+         + (count(*) OVER (PARTITION BY id % 7, id % 3, proba) - 1) / CAST(2 AS DOUBLE) AS mid_rank
+  FROM score_v WHERE y IS NOT NULL AND proba IS NOT NULL
+),
+aucs AS (
+  SELECT draw, fold, (sum(mid_rank) FILTER (WHERE y = 1) - count_if(y = 1) * (count_if(y = 1) + 1) / CAST(2 AS DOUBLE))
+         / (CAST(count_if(y = 1) AS DOUBLE) * CAST(count_if(y <> 1) AS DOUBLE)) AS auc
+  FROM pairs GROUP BY draw, fold
+)"""
+
+ORACLE["m8_pick"] = _with(SCORE_V, _AUC_TABLE) + """
+m AS (SELECT draw, avg(auc) AS mean_auc FROM aucs GROUP BY draw)
+SELECT CAST(draw AS BIGINT) AS draw, round(mean_auc, 4) AS mean_auc FROM m ORDER BY m.mean_auc DESC, draw LIMIT 1
+"""
+
+ORACLE["m6_early_stop"] = _with(SCORE_V, _AUC_TABLE) + """
+r AS (SELECT row_number() OVER (ORDER BY draw, fold) - 1 AS i, auc FROM aucs),
+b AS (SELECT i, auc, max(auc) OVER (ORDER BY i) AS best FROM r),
+a AS (SELECT b.i, b.auc, (SELECT min(r.i) FROM r WHERE r.i <= b.i AND r.auc = b.best) AS best_i FROM b),
+e AS (SELECT min(i) AS stop FROM a WHERE i - best_i >= 5),
+k AS (SELECT best_i FROM a, e WHERE i = coalesce(stop, (SELECT max(i) FROM a)))
+SELECT CAST(i AS BIGINT) AS round, round(auc, 4) AS auc, CAST(i <= k.best_i AS BIGINT) AS kept,
+       CAST(stop IS NOT NULL AS BIGINT) AS stopped
+FROM a, e, k
+"""
+
+ORACLE["m9_m10_tree_table"] = _with(PRIME_V) + """
+t(tree, node, feature, threshold, low, high, value) AS (VALUES
+  (0, 0, 0, 150000.0, 1, 2, 0.0), (0, 1, 1, 2000.0, 3, 4, 0.0), (0, 2, -1, 0.0, 2, 2, -0.25),
+  (0, 3, -1, 0.0, 3, 3, 0.5), (0, 4, -1, 0.0, 4, 4, -0.125),
+  (1, 0, 2, 30.0, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, -0.75), (1, 2, 0, 0.0, 5, 6, 0.0),
+  (1, 5, -1, 0.0, 5, 5, 1.0), (1, 6, 2, 90.0, 13, 14, 0.0), (1, 13, -1, 0.0, 13, 13, 0.25), (1, 14, -1, 0.0, 14, 14, 0.625),
+  (2, 0, -1, 0.0, 0, 0, 0.0625)),
+x AS (SELECT o_orderkey, [CREDIT_LIMIT, OVERDUEAMOUNT, DELINQUENCY] AS f FROM prime_v),
+s0 AS (SELECT x.o_orderkey, x.f, t.* FROM x, t WHERE t.node = 0),
+s1 AS (SELECT s.o_orderkey, s.f, t.* FROM s0 s JOIN t ON t.tree = s.tree AND t.node = CASE WHEN s.feature < 0 THEN s.node
+       WHEN s.f[s.feature + 1] <= s.threshold THEN s.low ELSE s.high END),
+s2 AS (SELECT s.o_orderkey, s.f, t.* FROM s1 s JOIN t ON t.tree = s.tree AND t.node = CASE WHEN s.feature < 0 THEN s.node
+       WHEN s.f[s.feature + 1] <= s.threshold THEN s.low ELSE s.high END),
+s3 AS (SELECT s.o_orderkey, s.f, t.* FROM s2 s JOIN t ON t.tree = s.tree AND t.node = CASE WHEN s.feature < 0 THEN s.node
+       WHEN s.f[s.feature + 1] <= s.threshold THEN s.low ELSE s.high END),
+m AS (SELECT o_orderkey, CAST(-0.5 AS DOUBLE) + sum(CAST(value AS DOUBLE)) AS margin FROM s3 GROUP BY o_orderkey)
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, (round(1 / (1 + exp(-margin)) + 1e-9, 6) + 0.0) AS default_probability,
+       CAST(1 / (1 + exp(-margin)) >= 0.5 AS BIGINT) AS predicted_label
+FROM m
+"""
+
+
 ORACLE["m3_smote_class_counts"] = _with(PRIME_V, _LABELLED) + """
 s AS (SELECT target FROM hs WHERE substr(h, 1, 8) >= '4ccccccd'),
 g AS (SELECT target, count(*) AS n FROM s GROUP BY target)
