@@ -8,6 +8,7 @@ that the DuckDB oracle (``cardlens.plans.oracle``) can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,9 +20,10 @@ from cardlens.functions import parse_float, parse_int
 from cardlens.operators import account_features as af
 from cardlens.operators import churn as ch
 from cardlens.operators import joins, labels
+from cardlens.operators import sketches as sk_
 from cardlens.operators import txn_features as tf
 from cardlens.sources.adapters import AS_OF, churn_view, prime_view, read_table, txn_view
-from cardlens.session import checkpoint
+from cardlens.session import checkpoint, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
@@ -121,6 +123,44 @@ def q_f_account_features(spark, sf_dir):
         "o_orderkey", "RIMNO", "GENDER", "ANNUAL_FEE", "JOINING_FEE", "OVERDUEAMOUNT", *af.FEATURE_COLS))
 
 
+# ---------------------------------------------------------------------------
+# Opt-in sketches (C8, C9, P3, T9, T10), held against the exact statistics
+# ---------------------------------------------------------------------------
+
+@register("c8_c9_quantile_sketches")
+def q_c8_c9_quantile_sketches(spark, sf_dir):
+    """Quantiles merged from one stored sketch a file: the rows that count, and whether the value's rank
+    is within 0.02 of the wanted one."""
+    cols, probs = ["ANNUAL_FEE", "OVERDUEAMOUNT", "CREDIT_LIMIT", "LEDGER_BALANCE"], [0.5, 0.99]
+    prime = prime_view(spark, sf_dir).select("source_file", *cols)
+    root = scratch_path(spark, f"sketches-{uuid.uuid4().hex}")
+    files = sorted(r[0] for r in prime.select("source_file").distinct().collect())
+    for part in (files[:-1], files[-1:]):  # the latest month arrives later and is merged with the stored ones
+        sk_.store(sk_.quantile_sketches(prime.where(F.col("source_file").isin(part)), cols), root)
+    found = sk_.merged_quantiles(spark.read.parquet(root), probs)
+    wanted = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("prob"), F.lit(found[c][p]).cast("double").alias("at"),
+                                F.col(c).alias("v")) for c in cols for p in probs])
+    ranks = prime.select(F.explode(wanted).alias("r")).select("r.*").where("v IS NOT NULL").groupBy("column_name", "prob").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") < F.col("at")).alias("below"),
+        F.count_if(F.col("v") <= F.col("at")).alias("upto"))
+    close = (F.col("below") <= (F.col("prob") + 0.02) * F.col("n")) & (F.col("upto") >= (F.col("prob") - 0.02) * F.col("n"))
+    return normalise_output(ranks.select("column_name", "prob", "n", close.alias("close")))
+
+
+@register("t9_t10_distinct_sketches")
+def q_t9_t10_distinct_sketches(spark, sf_dir):
+    """Distinct merchants and codes a customer from sketches stored a customer and file: the exact counts, and
+    whether the estimates are within 5 %."""
+    txn = txn_view(spark, sf_dir).withColumn("source_file", F.year("trxn_date").cast("string"))
+    cols = ["merch_id", "mcc"]
+    root = scratch_path(spark, f"sketches-{uuid.uuid4().hex}")
+    sk_.store(sk_.distinct_sketches(txn, schemas.CUSTOMER_ID, cols), root)
+    est = sk_.merged_distinct(spark.read.parquet(root), schemas.CUSTOMER_ID, cols)
+    exact = txn.where("RIMNO IS NOT NULL").groupBy("RIMNO").agg(*[F.count_distinct(c).alias(f"n_{c}") for c in cols])
+    close = [(F.abs(F.col(c) - F.col(f"n_{c}")) <= 0.05 * F.col(f"n_{c}")).alias(f"{c}_close") for c in cols]
+    return normalise_output(exact.join(est, "RIMNO").select("RIMNO", "n_merch_id", "n_mcc", *close))
+
+
 # ---------------------------------------------------------------------------
 # Join + labels (J1, L1-L3) -- the flagship wide labelled frame
 # ---------------------------------------------------------------------------
@@ -478,8 +518,6 @@ def q_pipeline_train_evaluate(spark, sf_dir):
 # written from the given tables into the shared checkpoint folder
 # ---------------------------------------------------------------------------
 
-import uuid  # noqa: E402
-
 from cardlens.operators import sinks as sk  # noqa: E402
 from cardlens.session import scratch_path  # noqa: E402
 from cardlens.sources import files as fl  # noqa: E402

@@ -775,6 +775,24 @@ FROM r WHERE rank <= 5
 """
 
 
+ORACLE["c8_c9_quantile_sketches"] = _with(PRIME_V) + """
+c AS (
+  SELECT 'ANNUAL_FEE' AS column_name, count(ANNUAL_FEE) AS n FROM prime_v
+  UNION ALL SELECT 'OVERDUEAMOUNT', count(OVERDUEAMOUNT) FROM prime_v
+  UNION ALL SELECT 'CREDIT_LIMIT', count(CREDIT_LIMIT) FROM prime_v
+  UNION ALL SELECT 'LEDGER_BALANCE', count(LEDGER_BALANCE) FROM prime_v)
+SELECT column_name, (round(p + 1e-9, 4) + 0.0) AS prob, CAST(n AS BIGINT) AS n, CAST(1 AS BIGINT) AS "close"
+FROM c, (VALUES (CAST(0.5 AS DOUBLE)), (CAST(0.99 AS DOUBLE))) v(p)
+"""
+
+ORACLE["t9_t10_distinct_sketches"] = _with(TXN_V) + """
+x AS (SELECT 1)
+SELECT CAST(RIMNO AS BIGINT) AS RIMNO, CAST(count(DISTINCT merch_id) AS BIGINT) AS n_merch_id,
+       CAST(count(DISTINCT mcc) AS BIGINT) AS n_mcc, CAST(1 AS BIGINT) AS merch_id_close, CAST(1 AS BIGINT) AS mcc_close
+FROM txn_v WHERE RIMNO IS NOT NULL GROUP BY RIMNO
+"""
+
+
 ORACLE["m4_knn_lsh"] = """
 SELECT CAST(label AS BIGINT) AS label, CAST(count(*) * least(5, count(*) - 1) AS BIGINT) AS n_wanted,
        CAST(1 AS BIGINT) AS nine_of_ten
