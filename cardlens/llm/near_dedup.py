@@ -236,16 +236,27 @@ def near_duplicates(docs: DataFrame, *, k_words: int = 5, percent: int = 80, coo
                 .alias("pvs"), F.expr("-aggregate(v, 0D, (s, x) -> s + ln(x.f))").alias("far")), "near-front")
     lists = materialise(front.select("node", "far", F.explode("pvs").alias("pv")), "near-lists")
     edges = _linked(docs, front, lists, percent, sigmas, k_words, star_rounds, block)
+    # a doc_id with several texts ties their classes together
+    repeated = materialise(base.where("doc_id IS NOT NULL").groupBy("doc_id")
+                           .agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+                           .where("low < high").select("doc_id"), "near-repeated")
+    some = not repeated.isEmpty()
+    if some:
+        edges = edges.union(base.where("n > 0").join(repeated, "doc_id").join(classes.select("digest", "node"), "digest")
+                            .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     comps = components(edges, "near")
 
     named = materialise(
         classes.join(comps, "node", "left")
         .select("digest", F.least("node", F.coalesce("comp", "node")).alias("component_id"), "size", "node")
         .where("size > 1 OR component_id <> node").select("digest", "component_id"), "near-named")
-    # one row a digest unless doc_ids repeat with other texts; those agree on the smallest id
-    return (base.join(named, "digest", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = base.join(named, "digest", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    if some:  # also rows without a text of their own
+        whole = repeated.join(comps, F.col("doc_id") == F.col("node")).select("doc_id", "comp")
+        found = found.join(materialise(whole, "near-whole"), "doc_id", "left").select(
+            "doc_id", "n_shingles", F.coalesce("comp", "component_id").alias("component_id"))
+    return (found
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 

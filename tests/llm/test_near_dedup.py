@@ -90,6 +90,19 @@ def test_repeated_rows_nulls_and_extra_columns(spark):
                    ("None", "1", False), ("None", "None", False)]
 
 
+def test_one_document_with_several_texts_is_one_component(spark):
+    a, b = "a b c d e f g h", "p q r s t u v w"
+    rows = [(5, a), (9, a), (9, b), (20, b), (30, "one two"), (30, None), (31, ""), (31, "one two"), (40, "x y z"), (40, "k l m")]
+    rows += fixture_rows(11)
+    rng = random.Random(4)
+    rows += [(rng.randrange(60), rows[rng.randrange(len(rows))][1]) for _ in range(15)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.near_duplicates(df, k_words=3, percent=85).collect()
+    want = brute(rows, 3, 85)
+    assert len(got) == len(rows)
+    assert all(r.component_id == want[r.doc_id] and r.kept == (r.doc_id == want[r.doc_id]) for r in got)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup.near_duplicates(df).count() == 0
