@@ -93,7 +93,7 @@ def _solve(hist: DataFrame, sources: list[dict], cap: int) -> None:
 
 
 def mix(docs: DataFrame, *, share: float = 1.5, weights=WEIGHTS, cap: int = 2, salt: str = "mix") -> DataFrame:
-    """Every column of ``docs`` plus ``_size``, ``_source_size``, ``_target``, ``_copies``.
+    """Every column of ``docs`` plus ``_size``, ``_source_size``, ``_target``, ``_copies`` (same-named ones are replaced).
 
     Sources weigh ``weights`` in code point order (NULL last), repeating; together they get
     ``share`` of all words (runs between ASCII white space), none more than ``cap`` times its own.
@@ -108,10 +108,12 @@ def mix(docs: DataFrame, *, share: float = 1.5, weights=WEIGHTS, cap: int = 2, s
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     draw = F.pmod(F.xxhash64(F.lit(salt), key), F.lit(RATE_UNIT)).cast("long")
     source = column_or(docs, "source", "string")
-    sized = docs.withColumn("_size", size).withColumn("_source", source)
+    # the row travels as one value, so none of its columns can clash with those used here
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("_size", "_source_size", "_target", "_copies")]
+    sized = docs.select(F.struct(*own).alias("_row"), size.alias("_size"), source.alias("_source"), draw.alias("_draw"))
 
     # the numbers the passes need, once: no texts from here on
-    facts = materialise(sized.select("_source", F.col("_size").alias("size"), draw.alias("draw"))
+    facts = materialise(sized.select("_source", F.col("_size").alias("size"), F.col("_draw").alias("draw"))
                         .groupBy("_source", "size", "draw").agg(F.count("*").alias("n")), "mix-facts")
     by_source = facts.groupBy("_source").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n"))
     found = by_source.limit(MAX_SOURCES + 1).collect()
@@ -133,9 +135,9 @@ def mix(docs: DataFrame, *, share: float = 1.5, weights=WEIGHTS, cap: int = 2, s
         [(s["k"], s["source"], s["size"], s["target"], s["lam"], s["mean"], s["cut"]) for s in sources],
         "k int, _of string, _source_size long, _target double, _lam double, _mean double, _cut long")
     out = sized.join(F.broadcast(plan), sized["_source"].eqNullSafe(plan["_of"]), "left")
-    copies = _copies(F.col("_size"), draw, F.col("_mean"), F.col("_lam"), F.col("_cut"), cap)
-    return out.withColumn("_copies", copies).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "_size", "_source_size", "_target", "_copies")
+    copies = _copies(F.col("_size"), F.col("_draw"), F.col("_mean"), F.col("_lam"), F.col("_cut"), cap)
+    return out.select("_row", "_size", "_source_size", "_target", copies.alias("_copies")).select(
+        "_row.*", "_size", "_source_size", "_target", "_copies")
 
 
 def _lag(draw, rate):
