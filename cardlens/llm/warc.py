@@ -45,19 +45,15 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def _escape(value: str) -> str:
-    """Header values hold no line ends; % keeps the escape unambiguous."""
-    return value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
-
-
-def _unescape(value: str) -> str:
-    return value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+def _line(value: str) -> str:
+    """Header values hold no line ends; in a URI these are written %0D and %0A anyway. Nothing else changes."""
+    return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
 def record_bytes(row: dict) -> bytes:
     """One record. ``payload`` None or a revisit: an empty block."""
     payload = row["payload"] or b"" if row["record_type"] != "revisit" else b""
-    lines = [f"{header}: {_escape(str(row[name]))}" for name, header in HEADERS.items() if row[name] is not None]
+    lines = [f"{header}: {_line(str(row[name]))}" for name, header in HEADERS.items() if row[name] is not None]
     if row["record_type"] == "revisit":
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     lines += [f"WARC-Date: {_DATE}", "Content-Type: text/html", f"Content-Length: {len(payload)}"]
@@ -71,10 +67,11 @@ def parse_header(block: bytes) -> dict:
         name, _, value = line.partition(b":")
         found[name.strip().lower()] = value.strip().decode("utf-8", "surrogatepass")
     row = {name: found.get(header.lower().encode()) for name, header in HEADERS.items()}
-    row = {k: _unescape(v) if v is not None else None for k, v in row.items()}
     row["payload_bytes"] = int(row["payload_bytes"]) if row["payload_bytes"] is not None else None
     row["length"] = int(found[b"content-length"])
-    if row["payload_bytes"] is None and row["record_type"] != "revisit":  # other writers' archives
+    # other writers' archives: a block of type application/http starts with HTTP headers, which are no payload
+    row["http"] = (found.get(b"content-type") or "").lower().startswith("application/http")
+    if row["payload_bytes"] is None and row["record_type"] != "revisit" and not row["http"]:
         row["payload_bytes"] = row["length"]
     return row
 
@@ -171,10 +168,12 @@ def read_records(file, wanted, payload: bool, gzip: bool) -> Iterator[dict]:
         if not _VERSION.match(block):
             raise ValueError(f"not a WARC record at byte {source.at}")
         row = parse_header(block[:-4])
-        size = row.pop("length")
+        size, http = row.pop("length"), row.pop("http")
         if wanted(row):
             if payload:
                 block = source.take(size)
+                if http:
+                    block = block.partition(b"\r\n\r\n")[2]
                 row["payload"] = block if row["record_type"] != "revisit" else None
             else:
                 source.skip(size)
@@ -258,10 +257,15 @@ class _Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """Each attempt writes a file of its own name; the commit gives those of successful tasks their final names."""
+    """Each attempt writes a file of its own name; the commit gives those of successful tasks their final names.
 
-    def __init__(self, options):
-        self.path = options["path"]
+    Final names hold the job's id, so another append to the folder never meets them. An overwrite
+    removes the archives of earlier jobs once its own are complete.
+    """
+
+    def __init__(self, options, overwrite: bool = False):
+        import uuid
+        self.path, self.overwrite, self.job = options["path"], overwrite, uuid.uuid4().hex
         self.gzip = options.get("compression", "gzip") != "none"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
@@ -270,8 +274,8 @@ class WarcWriter(DataSourceArrowWriter):
         from pyspark import TaskContext
         store, root = filesystem(self.path)
         store.create_dir(root, recursive=True)
-        final = f"part-{TaskContext.get().partitionId():06d}.warc" + ".gz" * self.gzip
-        name = f"_attempt-{uuid.uuid4().hex}"
+        final = f"part-{TaskContext.get().partitionId():06d}-{self.job}.warc" + ".gz" * self.gzip
+        name = f"_attempt-{self.job}-{uuid.uuid4().hex}"
         empty = True
         with store.open_output_stream(f"{root}/{name}") as out:
             for batch in iterator:
@@ -289,13 +293,30 @@ class WarcWriter(DataSourceArrowWriter):
         return _Written(name, final)
 
     def commit(self, messages) -> None:
+        from pyarrow import fs
         store, root = filesystem(self.path)
+        store.create_dir(root, recursive=True)
         for m in messages:
             if m is not None and m.name:
                 store.move(f"{root}/{m.name}", f"{root}/{m.final}")
+        if self.overwrite:
+            for info in store.get_file_info(fs.FileSelector(root, recursive=True)):
+                if info.type == fs.FileType.File and info.base_name.endswith((".warc", ".warc.gz")) \
+                        and self.job not in info.base_name:
+                    store.delete_file(info.path)
+        self._clear(store, root)
 
     def abort(self, messages) -> None:
-        """Files of failed attempts have no archive's name, so readers pass them over."""
+        """Files of failed attempts have no archive's name, so readers pass over any that stay."""
+        store, root = filesystem(self.path)
+        self._clear(store, root)
+
+    def _clear(self, store, root: str) -> None:
+        """Remove what attempts of this job left that did not succeed."""
+        from pyarrow import fs
+        for info in store.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+            if info.base_name.startswith(f"_attempt-{self.job}"):
+                store.delete_file(info.path)
 
 
 class WarcSource(DataSource):
@@ -314,7 +335,7 @@ class WarcSource(DataSource):
         return WarcReader(schema, self.options)
 
     def writer(self, schema, overwrite):
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -342,10 +363,11 @@ def records(pages: DataFrame) -> DataFrame:
                          .where("c > 1").select("d", "first"), "warc-groups")
     revisits = materialise(
         facts.join(groups, "d").where(F.col("page_id").isNotNull() & (F.col("page_id") != F.col("first")))
-        .groupBy("page_id").agg(F.min(F.struct("d", "first")).alias("r")).select("page_id", "r.*"), "warc-revisits")
-    digest = F.sha2("payload", 256)
-    joined = base.join(revisits, "page_id", "left").withColumn("digest", digest)
-    again = F.coalesce(F.col("d") == F.col("digest"), F.lit(False))
+        .select("page_id", "d", "first").distinct(), "warc-revisits")
+    # by digest as well: rows that repeat a page_id may hold copies of several payloads
+    joined = base.withColumn("digest", F.sha2("payload", 256)).join(
+        revisits.withColumnRenamed("d", "digest"), ["page_id", "digest"], "left")
+    again = F.col("first").isNotNull()
     return joined.select(
         F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(">"))
         .alias("record_id"),
@@ -356,9 +378,10 @@ def records(pages: DataFrame) -> DataFrame:
         F.when(~again, F.col("payload")).alias("payload"))
 
 
-def write_archives(pages: DataFrame, path: str, compression: str = "gzip") -> None:
+def write_archives(pages: DataFrame, path: str, compression: str = "gzip", mode: str = "append") -> None:
+    """Write ``records(pages)``; ``mode`` append adds archives to the folder, overwrite replaces those in it."""
     register(pages.sparkSession)
-    records(pages).write.format("warc").mode("append").option("compression", compression).save(path)
+    records(pages).write.format("warc").mode(mode).option("compression", compression).save(path)
 
 
 def read_archives(spark: SparkSession, path: str, columns: str = "") -> DataFrame:
