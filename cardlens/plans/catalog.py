@@ -493,6 +493,25 @@ def q_m3_smote_class_counts(spark, sf_dir):
     return normalise_output(res.groupBy("target").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+@register("m3_smote_rows")
+def q_m3_smote_rows(spark, sf_dir):
+    """Every synthetic row of the embeddings' smaller labels, value by value."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    cols = [f"e{i:02d}" for i in range(64)]
+    wide = emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    synthetic = sp.smote(wide, cols, "vec_id", "label").where("is_synthetic = 1")
+    return normalise_output(synthetic.select("label", *cols))
+
+
+@register("h7_no_status")
+def q_h7_no_status(spark, sf_dir):
+    """H7: without a status column nobody of the latest file has churned; history customers that are gone have."""
+    prime = prime_view(spark, sf_dir).select(
+        F.col("RIMNO").cast("string").alias("RIMNO"), F.col("o_orderkey").cast("string").alias("o_orderkey"), "source_file")
+    labelled, _ = ch.churn_latest_vs_history(prime)
+    return normalise_output(labelled.select("RIMNO", "o_orderkey", "source_file", "CHURN"))
+
+
 @register("m5_m10_train_score")
 def q_m5_m10_train_score(spark, sf_dir):
     """Oversample, grow boosted trees up to the original's rounds with early stopping on the AUC of
@@ -537,13 +556,12 @@ def write_raw_prime(spark: SparkSession, sf_dir: str, root: str) -> None:
         "RIM_NO": F.format_number("RIMNO", 2),
         "CREDIT_LIMIT": F.format_number("CREDIT_LIMIT", 2),
         "OVERDUEAMOUNT": F.format_number("OVERDUEAMOUNT", 4),
-        "CREATION_DATE": F.date_format("CREATION_DATE", "yyyy-MM-dd"),
-        "LAST_PAYMENT_DATE": F.date_format("LAST_PAYMENT_DATE", "dd/MM/yyyy"),
         "ORGANIZATION": F.concat(F.lit("Société "), F.col("ORGANIZATION")),
     }
-    cols = ["o_orderkey", "RIM_NO", "source_file", "STATUS", "ACTIVATED", "CREDIT_LIMIT", "OVERDUEAMOUNT",
-            "CREATION_DATE", "LAST_PAYMENT_DATE", "ORGANIZATION", "TOTAL_HOLD", "MIN_PAYMENT"]
-    raw = p.withColumns(fmt).select(*cols)
+    for c, kind in p.dtypes:
+        if kind == "timestamp_ntz":
+            fmt[c] = F.date_format(c, "dd/MM/yyyy" if c == "LAST_PAYMENT_DATE" else "yyyy-MM-dd")
+    raw = p.withColumns(fmt).drop("RIMNO")
     w = lambda df: df.write.mode("append").option("header", True).option("encoding", fl.LATIN) \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
         .partitionBy("source_file").csv(root)
@@ -551,6 +569,16 @@ def write_raw_prime(spark: SparkSession, sf_dir: str, root: str) -> None:
     w(raw.where(F.col("source_file") >= F.lit("prime_1998.csv")))
 
 
+def write_raw_transactions(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Transaction files with the bank's raw headers, all columns as text."""
+    names = {name: raw for raw, name in schemas.TXN_COLUMN_NAMES.items()}
+    t = txn_view(spark, sf_dir)
+    t.select(*[(F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind == "timestamp_ntz" else F.col(c)).alias(names.get(c, c))
+               for c, kind in t.dtypes]) \
+        .write.mode("overwrite").option("header", True).option("encoding", fl.LATIN) \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
+
+
 @register("s1_prime_csv_load")
 def q_s1_prime_csv_load(spark, sf_dir):
     """Load ragged monthly CSVs back into typed rows."""
@@ -581,13 +609,7 @@ def q_s5_s6_churn_from_csv(spark, sf_dir):
 def q_s4_txn_csv_features(spark, sf_dir):
     """Transaction CSVs with raw headers -> canonical frame -> T1-T11."""
     root = _fresh(spark, "txn-csv")
-    raw = txn_view(spark, sf_dir).select(
-        F.col("RIMNO"), F.col("billing_amt").alias("BILLING AMT"), F.col("orig_amount").alias("ORIG AMOUNT"),
-        F.col("settlement_amt").alias("SETTLEMENT AMT"), F.col("ccy").alias("CCY"), F.col("mcc").alias("MCC"),
-        F.col("merch_id").alias("MERCH ID"), F.col("reversal_flag").alias("REVERSAL FLAG"),
-        F.date_format("trxn_date", "yyyy-MM-dd HH:mm:ss").alias("TRXN DATE"),
-        F.date_format("post_date", "yyyy-MM-dd HH:mm:ss").alias("POST DATE"))
-    raw.write.mode("overwrite").option("header", True).csv(root)
+    write_raw_transactions(spark, sf_dir, root)
     txn = fl.load_transactions(spark, root)
     return normalise_output(tf.transaction_features(txn, as_of=AS_OF))
 
@@ -717,27 +739,27 @@ def q_m9_m10_tree_table(spark, sf_dir):
 
 @register("m7_m8_tune")
 def q_m7_m8_tune(spark, sf_dir):
-    """Random search (20 draws x 3 folds, oversampling inside each fold) on
-    the training part; the per-fold AUC table (no SQL twin)."""
-    prepared, art = _prepared_split(spark, sf_dir)
-    train = prepared.where("is_test = 0").drop("is_test")
-    _, table = bt.tune(train, art.feature_order, "o_orderkey")
-    return normalise_output(table)
+    """The training run with the search (20 draws x 3 folds x 100 rounds, oversampling inside each fold,
+    refit of the best draw); the per-fold AUC table (no SQL twin)."""
+    res = tr.run_training(prime_view(spark, sf_dir), txn_view(spark, sf_dir), AS_OF, id_cols=["o_orderkey"], tune=True)
+    return normalise_output(res.tuning)
 
 
 @register("pipeline_score_latest")
 def q_pipeline_score_latest(spark, sf_dir):
-    """Train on the history files, save model + artifacts, load them and
-    score the latest file (M9, M10, M11, K1, K5; no SQL twin)."""
-    root = _fresh(spark, "model")
-    prime = prime_view(spark, sf_dir)
-    latest = ch.latest_file(prime)
-    txn = txn_view(spark, sf_dir)
-    tr.run_training(prime.where(F.col("source_file") != F.lit(latest)), txn, AS_OF,
-                    id_cols=["o_orderkey"], out_dir=root)
-    scores, _ = tr.run_scoring(prime.where(F.col("source_file") == F.lit(latest)), txn, AS_OF,
-                               model_dir=root + "/model", out_path=root + "/latest_scores")
-    return normalise_output(scores)
+    """Folders to outputs: train from the history's CSV files, save model + artifacts + scores, then score the
+    latest file's folder from the saved model and read the scores back from disk (S1-S5, M9-M11, K1, K5; no SQL twin)."""
+    root = _fresh(spark, "run")
+    write_raw_prime(spark, sf_dir, root + "/raw")
+    write_raw_transactions(spark, sf_dir, root + "/txn")
+    files = spark.read.option("header", True).csv(root + "/raw").select(schemas.SOURCE_FILE_COL)
+    latest = files.agg(F.max(schemas.SOURCE_FILE_COL)).first()[0]
+    formats = ["yyyy-MM-dd", "dd/MM/yyyy"]
+    tr.train_from_folders(spark, root + "/raw", root + "/txn", AS_OF, root + "/out", id_cols=["o_orderkey"],
+                          date_formats=formats, before=latest)
+    tr.score_from_folders(spark, root + "/raw", root + "/txn", AS_OF, root + "/out/model", root + "/latest_scores",
+                          date_formats=formats, only=latest)
+    return normalise_output(spark.read.option("header", True).schema(schemas.SCORES_SCHEMA).csv(root + "/latest_scores"))
 
 
 @register("u2_u4_id_sets")

@@ -858,6 +858,42 @@ SELECT CAST(target AS BIGINT) AS target, CAST(max(n) OVER () AS BIGINT) AS n_row
 """
 
 
+_SMOTE_DIGITS = "CAST('0x' || substr(md5('42|' || CAST(d.vec_id AS VARCHAR) || '|' || CAST(d.j AS VARCHAR) || '|{}'), 1, 8) AS BIGINT)"
+
+ORACLE["m3_smote_rows"] = f"""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+s AS (SELECT label, count(*) AS n, max(count(*)) OVER () - count(*) AS need FROM e GROUP BY label),
+r AS (
+  SELECT e.*, s.n, s.need, row_number() OVER (PARTITION BY e.label ORDER BY md5('42|' || CAST(vec_id AS VARCHAR))
+         || '|' || CAST(vec_id AS VARCHAR)) - 1 AS rk
+  FROM e JOIN s ON e.label = s.label WHERE need > 0),
+m AS (SELECT *, need // n + CASE WHEN rk < need % n THEN 1 ELSE 0 END AS m FROM r),
+d AS (SELECT vec_id, label, x, unnest(range(1, m + 1)) AS j FROM m WHERE m > 0),
+p AS (
+  SELECT a.vec_id, b.x AS y,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x), b.vec_id) - 1 AS k,
+         count(*) OVER (PARTITION BY a.vec_id) AS others
+  FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+q AS (
+  SELECT d.label, d.x, p.y, {_SMOTE_DIGITS.format("gap")} / CAST(4294967296 AS DOUBLE) AS gap
+  FROM d JOIN p ON p.vec_id = d.vec_id AND p.k = {_SMOTE_DIGITS.format("nn")} % least(5, p.others))
+SELECT CAST(label AS BIGINT) AS label,
+       {", ".join(f"round(x[{i + 1}] + gap * (y[{i + 1}] - x[{i + 1}]), 4) AS e{i:02d}" for i in range(64))}
+FROM q
+"""
+
+
+ORACLE["h7_no_status"] = _with(PRIME_V) + """
+f AS (SELECT max(source_file) AS latest FROM prime_v),
+l AS (SELECT CAST(RIMNO AS VARCHAR) AS RIMNO, CAST(o_orderkey AS VARCHAR) AS o_orderkey, source_file
+      FROM prime_v, f WHERE source_file = latest),
+h AS (SELECT DISTINCT CAST(RIMNO AS VARCHAR) AS RIMNO FROM prime_v, f WHERE source_file <> latest)
+SELECT RIMNO, o_orderkey, source_file, CAST(0 AS BIGINT) AS CHURN FROM l
+UNION ALL
+SELECT RIMNO, NULL, NULL, CAST(1 AS BIGINT) FROM h WHERE RIMNO NOT IN (SELECT RIMNO FROM l)
+"""
+
+
 ORACLE["s1_prime_csv_load"] = _with(PRIME_V) + f"""
 x AS (SELECT 1)
 SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(RIMNO AS BIGINT) AS RIMNO, source_file, STATUS,

@@ -41,14 +41,6 @@ def _text_stream(spark: SparkSession, landing: str, columns: list[str], encoding
     return _text(spark.readStream, landing, columns, encoding)
 
 
-def _idempotent_sink(out: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out))
-    return write
-
-
 def per_file_churn_stream(spark: SparkSession, landing: str, out: str, columns: list[str],
                           statuses=schemas.CHURN_STATUSES_PER_FILE, checkpoint: str | None = None,
                           available_now: bool = True) -> StreamingQuery:
@@ -76,7 +68,12 @@ def per_file_churn_stream(spark: SparkSession, landing: str, out: str, columns:
 def scoring_stream(spark: SparkSession, landing: str, out: str, columns: list[str], model_dir: str,
                    txn_features: DataFrame, as_of, checkpoint: str | None = None,
                    date_formats=None, available_now: bool = True) -> StreamingQuery:
-    """The scoring pipeline on each newly landed snapshot file."""
+    """The scoring pipeline on each newly landed snapshot file.
+
+    As in ``per_file_churn_stream``, a file may land as any number of parts in any batches: the files that
+    a batch touched are scored anew, one by one, from all their landed parts. So a file's statistics
+    (median fee, cap) are its own, whatever the batches, and a replayed batch changes nothing.
+    """
     from cardlens.functions import drop_present, parse_float, parse_int, parse_timestamp, rename_customer_id
     from cardlens.operators import account_features as af
     from cardlens.operators import joins, sinks
@@ -84,17 +81,20 @@ def scoring_stream(spark: SparkSession, landing: str, out: str, columns: list[st
 
     model, art = sinks.load_model(spark, model_dir)
     stream = _text_stream(spark, landing, columns)
-    sink = _idempotent_sink(out)
+    name = schemas.SOURCE_FILE_COL
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        df = drop_present(rename_customer_id(batch), schemas.RETIRED_PRIME_COLS)
-        typed = {c: parse_float(c) for c in schemas.PRIME_FLOAT_COLS if c in df.columns}
-        typed.update({c: parse_int(c) for c in schemas.PRIME_INT_COLS if c in df.columns})
-        typed.update({c: parse_timestamp(c, date_formats) for c in schemas.DATE_COLS_PRIME if c in df.columns})
-        df = df.withColumns(typed)
-        wide = joins.merge_features(af.account_features(df, as_of), txn_features)
-        prepared = pp.transform(wide, art, keep=[schemas.CUSTOMER_ID, schemas.SOURCE_FILE_COL])
-        sink(model.score(prepared, keep=[schemas.CUSTOMER_ID, schemas.SOURCE_FILE_COL]), batch_id)
+        touched = sorted(r[0] for r in batch.select(name).distinct().collect())  # the files of one trigger
+        landed = _text(spark.read, landing, columns, "ISO-8859-1")
+        for file in touched:
+            df = drop_present(rename_customer_id(landed.where(F.col(name) == F.lit(file))), schemas.RETIRED_PRIME_COLS)
+            typed = {c: parse_float(c) for c in schemas.PRIME_FLOAT_COLS if c in df.columns}
+            typed.update({c: parse_int(c) for c in schemas.PRIME_INT_COLS if c in df.columns})
+            typed.update({c: parse_timestamp(c, date_formats) for c in schemas.DATE_COLS_PRIME if c in df.columns})
+            wide = joins.merge_features(af.account_features(df.withColumns(typed), as_of), txn_features)
+            prepared = pp.transform(wide, art, keep=[schemas.CUSTOMER_ID, name])
+            (model.score(prepared, keep=[schemas.CUSTOMER_ID, name]).withColumn("file", F.col(name))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(out))
 
     w = stream.writeStream.foreachBatch(score).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt/scoring"))

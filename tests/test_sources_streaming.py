@@ -65,14 +65,20 @@ def test_scoring_stream_end_to_end(spark, tmp_path):
     res = spark.read.parquet(out)
     assert res.count() == new.count()
     assert res.where((F.col("default_probability") < 0) | (F.col("default_probability") > 1)).count() == 0
-    # a replayed batch id overwrites its own partition instead of appending
+    # more parts of the same file land: the file is scored anew from all of them, not added to
     n = res.count()
-    first_batch = sorted(p for p in os.listdir(out) if p.startswith("batch_id="))[0]
-    bid = int(first_batch.split("=")[1])
-    again = spark.read.parquet(out).where(F.col("batch_id") == bid).drop("batch_id")
-    replay = spark.createDataFrame(again.collect(), again.schema)   # small test batch
-    st._idempotent_sink(out)(replay, bid)
-    assert spark.read.parquet(out).count() == n
+    half = spark.read.option("header", True).csv(landing)
+    two = str(tmp_path / "landing2")
+    for part in (half.where("o_orderkey % 2 = 0"), half.where("o_orderkey % 2 = 1")):
+        part.withColumn("source_file", F.lit("m.csv")).write.mode("append").option("header", True).partitionBy("source_file").csv(two)
+        st.scoring_stream(spark, two, str(tmp_path / "out2"), cols, model_root + "/model", tf.transaction_features(txn, AS_OF),
+                          AS_OF, checkpoint=str(tmp_path / "ckpt2"),
+                          date_formats=["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss"]).awaitTermination()
+    again = spark.read.parquet(str(tmp_path / "out2"))
+    assert again.count() == n
+    key = lambda rows: sorted((r[0], round(r[2], 12)) for r in rows)
+    assert key(map(tuple, again.select("RIMNO", "source_file", "default_probability").collect())) == key(
+        map(tuple, res.select("RIMNO", "source_file", "default_probability").collect()))
 
 
 @pytest.mark.parametrize("parts", [1, 8, 20])
