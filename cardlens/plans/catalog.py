@@ -601,7 +601,7 @@ def q_s5_s6_churn_from_csv(spark, sf_dir):
     write_raw_prime(spark, sf_dir, root)
     text = fl.read_text_table(spark, root)
     text = text.withColumnRenamed("RIM_NO", "RIMNO")   # C3
-    labelled, _ = ch.churn_latest_vs_history(text)
+    labelled, _ = ch.churn_latest_vs_history(text, latest=fl.latest_source_file(spark, root))
     return normalise_output(labelled.select("RIMNO", "o_orderkey", "source_file", "STATUS", "CHURN"))
 
 
@@ -752,8 +752,7 @@ def q_pipeline_score_latest(spark, sf_dir):
     root = _fresh(spark, "run")
     write_raw_prime(spark, sf_dir, root + "/raw")
     write_raw_transactions(spark, sf_dir, root + "/txn")
-    files = spark.read.option("header", True).csv(root + "/raw").select(schemas.SOURCE_FILE_COL)
-    latest = files.agg(F.max(schemas.SOURCE_FILE_COL)).first()[0]
+    latest = fl.latest_source_file(spark, root + "/raw")
     formats = ["yyyy-MM-dd", "dd/MM/yyyy"]
     tr.train_from_folders(spark, root + "/raw", root + "/txn", AS_OF, root + "/out", id_cols=["o_orderkey"],
                           date_formats=formats, before=latest)

@@ -13,8 +13,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,18 +26,39 @@ from cardlens.functions import (drop_present, lenient_double, parse_float, parse
 LATIN = "ISO-8859-1"
 
 
+def file_name() -> Column:
+    """Base name of the file a row comes from; Spark's metadata column has it as part of a URI."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, path: str, suffix: str = ".csv") -> list[str]:
     """Sorted data files of a folder; S3: fail when there are none."""
     try:
         files = spark.read.format("text").load(path).inputFiles()
     except Exception as e:  # noqa: BLE001 - missing folder
         raise FileNotFoundError(f"No {suffix} files found in {path}") from e
-    files = sorted(f for f in files if f.lower().endswith(suffix))
+    files = sorted(unquote(f) for f in files if f.lower().endswith(suffix))  # listed as URIs, read as paths
     if not files:
         raise FileNotFoundError(f"No {suffix} files found in {path}")
     return files
 
 
+def source_files(spark: SparkSession, path: str, suffix: str = ".csv") -> list[str]:
+    """Sorted distinct ``source_file`` values of a folder, from the names of its files alone (no row is read)."""
+    mark = f"/{schemas.SOURCE_FILE_COL}="
+    return sorted({unquote(f.rsplit(mark, 1)[1].split("/")[0]) if mark in f else f.rsplit("/", 1)[1]
+                   for f in list_files(spark, path, suffix)})
+
+
+def latest_source_file(spark: SparkSession, path: str, suffix: str = ".csv") -> str:
+    """The greatest file name; at least two files are required. With ``source_file=<name>/`` folders,
+    a filter on it then reads that file's folder only."""
+    names = source_files(spark, path, suffix)
+    if len(names) < 2:
+        raise ValueError(f"need at least 2 snapshot files, found {len(names)}")
+    return names[-1]
+
+
 def _na_to_null(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
     toks = list(tokens)
     return df.select(*[
@@ -72,7 +94,7 @@ def read_text_table(spark: SparkSession, path: str, encoding: str = LATIN,
         if schemas.SOURCE_FILE_COL in df.columns:
             df = df.withColumn(schemas.SOURCE_FILE_COL, F.col(schemas.SOURCE_FILE_COL).cast("string"))
         else:
-            df = df.withColumn(schemas.SOURCE_FILE_COL, F.col("_metadata.file_name"))
+            df = df.withColumn(schemas.SOURCE_FILE_COL, file_name())
         frames.append(df)
     out = frames[0]
     for df in frames[1:]:

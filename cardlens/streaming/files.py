@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cardlens import schemas
 from cardlens.operators import churn as ch
 from cardlens.session import scratch_path
+from cardlens.sources.files import file_name
 
 
 def _text(reader, landing: str, columns: list[str], encoding: str) -> DataFrame:
@@ -34,7 +35,7 @@ def _text(reader, landing: str, columns: list[str], encoding: str) -> DataFrame:
     df = df.withColumns({c: F.when(~F.trim(c).isin(list(schemas.NA_TOKENS)), F.col(c)) for c in columns})
     if schemas.SOURCE_FILE_COL in df.columns:      # ``source_file=<name>/`` folders
         return df.withColumn(schemas.SOURCE_FILE_COL, F.col(schemas.SOURCE_FILE_COL).cast("string"))
-    return df.withColumn(schemas.SOURCE_FILE_COL, F.col("_metadata.file_name"))
+    return df.withColumn(schemas.SOURCE_FILE_COL, file_name())
 
 
 def _text_stream(spark: SparkSession, landing: str, columns: list[str], encoding: str = "ISO-8859-1") -> DataFrame:

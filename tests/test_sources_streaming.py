@@ -33,6 +33,31 @@ def test_ragged_files_union_by_name(spark, tmp_path):
     assert rows["feb.csv"].STATUS is None and rows["feb.csv"].OVERDUEAMOUNT == 1000.0
 
 
+def test_latest_file_comes_from_names_and_prunes_folders(spark, tmp_path):
+    rows = [(i, f"prime {2000 + i % 3}%.csv", "NORM") for i in range(30)]
+    root = str(tmp_path / "p")
+    spark.createDataFrame(rows, "RIMNO long, source_file string, STATUS string").write.option("header", True) \
+        .partitionBy("source_file").csv(root)
+    assert fl.source_files(spark, root) == [f"prime {y}%.csv" for y in (2000, 2001, 2002)]
+    latest = fl.latest_source_file(spark, root)
+    df = fl.read_text_table(spark, root)
+    assert latest == ch.latest_file(df) == "prime 2002%.csv"
+    newest = df.where(F.col("source_file") == F.lit(latest))
+    assert newest.count() == 10
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "source_file" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for n in ("a b.csv", "c.csv"):
+        (flat / n).write_text("RIM_NO\n1\n")
+    assert fl.latest_source_file(spark, str(flat)) == "c.csv"
+    assert fl.source_files(spark, str(flat)) == sorted(r[0] for r in fl.read_text_table(spark, str(flat))
+                                                       .select("source_file").distinct().collect())
+    (flat / "c.csv").unlink()
+    with pytest.raises(ValueError, match="at least 2"):
+        fl.latest_source_file(spark, str(flat))
+
+
 def test_no_status_column_nobody_churns(spark):
     df = spark.createDataFrame([("h.csv", "1"), ("l.csv", "1"), ("l.csv", "2")], "source_file string, RIMNO string")
     labelled, _ = ch.churn_latest_vs_history(df)
