@@ -7,7 +7,9 @@ letter case, digit groups and punctuation, the card's issuer digit and Luhn sum,
 a name of the title's gender in the script of the original.
 
 The same entity gets the same surrogate in every document (coreference), so no table of all
-entities travels: a surrogate is a function of key and entity. Collision checks over all distinct
+entities travels: a surrogate is a function of key and entity. Given names, family names and mail
+domains are entities of their own, so a person keeps one family name with and without the given name, and
+a family name that stands after a title is replaced wherever else it stands in the same document. Collision checks over all distinct
 entities of the corpus find those whose surrogate equals another entity's surrogate or a real
 entity; all but one of them draw again until none collide (distinctness). The space of values grows
 with the draws (more syllables, longer local parts, more digits), so there is always room. Only the
@@ -49,7 +51,7 @@ TITLES = {"Mr": "m", "Mr.": "m", "Herr": "m", "Señor": "m", "Sr.": "m", "Monsie
           "Mrs": "f", "Mrs.": "f", "Ms": "f", "Ms.": "f", "Frau": "f", "Señora": "f", "Sra.": "f", "Madame": "f",
           "Mme": "f", "Госпожа": "f", "Κυρία": "f"}
 
-_NAME_WORD = r"[^\W\d_][^\W\d_'’-]+"
+_NAME_WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 _PATTERN = re.compile("|".join((
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24})",
     r"(?P<secret>(?i:(?P<word>password|passwd|pwd)|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}(?P<quote>[\"'])?"
@@ -100,9 +102,9 @@ def detect(text: str | None):
                 at = m.start("value")  # it may hold another entity
         elif m.group("name"):
             words = m.group("person").split(" ")
-            named = [w for w in words if w[0].isupper() and not w.isupper()]
+            named = [w for w in words if w[0].isupper() and len(w) > 1]
             if named and words[0] == named[0]:
-                person = " ".join(words[:len(named)])
+                person = " ".join(named[:2] if words == named else named[:1])
                 start = m.start("person")
                 yield start, start + len(person), "name-" + TITLES[m.group("title")], person
         elif kind == "card":
@@ -125,6 +127,21 @@ def canonical(kind: str, entity: str) -> str:
     return entity
 
 
+def parts(kind: str, entity: str) -> list[tuple[str, str]]:
+    """The (kind, canonical entity) pairs that get surrogates of their own in a detected entity."""
+    if kind == "email":
+        return [("email", entity.lower()), ("domain", entity.lower().partition("@")[2])]
+    if kind.startswith("name-"):
+        *given, family = (_as_name(w) for w in entity.split(" "))
+        return [*(("given-" + kind[-1], g) for g in given), ("family", family)]
+    return [(kind, canonical(kind, entity))]
+
+
+def _as_name(word: str) -> str:
+    """A name in capitals is the same name."""
+    return "".join(x.capitalize() for x in re.split("(['’-])", word)) if word.isupper() else word
+
+
 class _Stream:
     """Numbers below a bound from an HMAC in counter mode."""
 
@@ -169,11 +186,12 @@ def surrogate(key: bytes, kind: str, entity: str, draw: int = 0) -> str:
     """The canonical surrogate of a canonical entity; its space grows with the draws."""
     s = _Stream(key, f"{kind}\0{draw}\0{entity}")
     more = max(0, draw - SAME_LENGTH)
-    if kind == "email":
+    if kind == "email":  # the domain is replaced by its own surrogate
         local, _, domain = entity.partition("@")
-        host, _, top = domain.rpartition(".")
-        # the domain is an entity of its own: the same for all its addresses
-        return f"{_like(s, local + 'x' * draw)}@{_like(_Stream(key, 'domain' + chr(0) + host), host)}.{top}"
+        return f"{_like(s, local + 'x' * draw)}@{domain}"
+    if kind == "domain":
+        host, _, top = entity.rpartition(".")
+        return f"{_like(s, host + 'x' * draw)}.{top}"
     if kind == "ip" and more:  # IPv4 is full: a unique local IPv6 address
         return "fd%02x:" % s.below(256) + ":".join("%x" % s.below(1 << 16) for _ in range(7))
     if kind == "ip":
@@ -188,17 +206,16 @@ def surrogate(key: bytes, kind: str, entity: str, draw: int = 0) -> str:
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
     if kind == "secret":
         return _hexlike(s, entity + ("a" if re.fullmatch(r"[0-9a-f]+", entity) else "x") * more)
-    words, gender = entity.split(" "), kind[-1]
-    out = []
-    for i, w in enumerate(words):
-        script = _script(w)
-        if i == 0 and len(words) > 1:
-            pool = NAMES[script, gender]
-            out.append(pool[s.below(len(pool))])
-        else:
-            pool = SYLLABLES[script]
-            out.append("".join(pool[s.below(len(pool))] for _ in range(3 + draw)).capitalize())
-    return " ".join(out)
+    pool = SYLLABLES[_script(entity)]
+
+    def syllables(n: int) -> str:
+        return "".join(pool[s.below(len(pool))] for _ in range(n))
+
+    if kind.startswith("given-"):
+        names = NAMES[_script(entity), kind[-1]]
+        return names[s.below(len(names))] + syllables(draw)
+    # every part of a hyphenated name is replaced; single letters (O') stay
+    return "".join(syllables(3 + draw).capitalize() if len(x) > 1 else x for x in re.split("(['’-])", entity))
 
 
 def render(kind: str, entity: str, new: str) -> str:
@@ -213,12 +230,32 @@ def render(kind: str, entity: str, new: str) -> str:
 
 def rewrite(text: str | None, key: bytes, draws: dict[tuple[str, str], int], drawn=surrogate) -> tuple[str | None, int]:
     """The text with surrogates for its entities, and how many were replaced."""
-    out, at, n = [], 0, 0
+    def new(kind: str, name: str) -> str:
+        return drawn(key, kind, name, draws.get((kind, name), 0))
+
+    out, at, n, families = [], 0, 0, set()
     for start, end, kind, entity in detect(text):
-        name = canonical(kind, entity)
-        out += [text[at:start], render(kind, entity, drawn(key, kind, name, draws.get((kind, name), 0)))]
+        found = [new(*x) for x in parts(kind, entity)]
+        if kind == "email":
+            value = render(kind, entity, f"{found[0].partition('@')[0]}@{found[1]}")
+        elif kind.startswith("name-"):
+            families.add(parts(kind, entity)[-1][1])
+            value = " ".join(x.upper() if w.isupper() else x for w, x in zip(entity.split(" "), found, strict=True))
+        else:
+            value = render(kind, entity, found[0])
+        out += [text[at:start], value]
         at, n = end, n + 1
-    return (text, 0) if not n else ("".join([*out, text[at:]]), n)
+    if not n:
+        return text, 0
+    out.append(text[at:])
+    if families:
+        forms = sorted({f for x in families for f in (x, x.upper())}, key=len, reverse=True)
+        bare = re.compile(r"(?<![\w'’-])(?:" + "|".join(map(re.escape, forms)) + r")(?![\w-]|['’]\w\w)")
+        for i in range(0, len(out), 2):  # what lies between the entities
+            out[i], more = bare.subn(lambda m: new("family", _as_name(m.group())).upper() if m.group().isupper()
+                                     else new("family", m.group()), out[i])
+            n += more
+    return "".join(out), n
 
 
 def _entities(docs: DataFrame) -> DataFrame:
@@ -226,7 +263,7 @@ def _entities(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = {(k, canonical(k, e)) for t in batch.column("text").to_pylist() for _, _, k, e in detect(t)}
+            found = {x for t in batch.column("text").to_pylist() for _, _, k, e in detect(t) for x in parts(k, e)}
             rows = sorted(found)
             yield pa.RecordBatch.from_pydict({"kind": pa.array([k for k, _ in rows], pa.string()),
                                               "entity": pa.array([e for _, e in rows], pa.string())})
@@ -256,7 +293,7 @@ def resolve(docs: DataFrame, key: bytes, drawn=surrogate) -> DataFrame:
     current = materialise(_drawn(distinct, key, drawn), "pii-drawn")
     real = distinct.select("kind", F.col("entity").alias("new"), F.lit(True).alias("real"))
     while True:
-        # names of both genders share one space, so a surrogate never stands for two people
+        # given names of both genders share one space, so a surrogate never stands for two names
         space = F.substring_index("kind", "-", 1)
         # the entity that has drawn most often, then the smallest, keeps a disputed surrogate
         first = current.groupBy(space.alias("space"), "new").agg(
@@ -323,9 +360,9 @@ def _rewriter(key: bytes, shared):
 def _text_entities(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            out = [(k, kind, canonical(kind, e))
+            out = [(k, *x)
                    for k, t in zip(batch.column("_key").to_pylist(), batch.column("text").to_pylist(), strict=True)
-                   for _, _, kind, e in detect(t)]
+                   for _, _, kind, e in detect(t) for x in parts(kind, e)]
             yield pa.RecordBatch.from_pydict({c: pa.array([r[i] for r in out], pa.string())
                                               for i, c in enumerate(("_key", "kind", "entity"))})
 

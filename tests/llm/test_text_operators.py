@@ -147,6 +147,32 @@ def test_pii_collisions_are_drawn_again(spark):
     assert not {f"1.1.1.{i}" for i in range(1, 40)} & set(finals)
 
 
+def test_pii_people_keep_one_family_name(spark):
+    texts = ["Mr. John Smith met Mrs. Smith. Mr. Smith left; Smith came back, and SMITH'S smithy too.",
+             "Mrs. Smith wrote to Frau Smith-Jones and Mr. O'Neil of Smithfield.", "Mr. JOHN SMITH signed.",
+             "Smith alone is nobody here.", "Mr. Иван Петров"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, "k").collect()}
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs\. (\w+)\. Mr\. (\w+) left; (\w+) came back, and (\w+)'S smithy too\.", got[0].text)
+    given, family, *again = m.groups()
+    assert again == [family, family, family, family.upper()] and family != "Smith" and got[0]._entities == 5
+    assert any(given.startswith(x) for x in pii.NAMES["latin", "m"])
+    m = re.fullmatch(r"Mrs\. (\w+) wrote to Frau ([A-Z][a-z]+-[A-Z][a-z]+) and Mr\. (O'[A-Z][a-z]+) of Smithfield\.", got[1].text)
+    assert m.group(1) == family and m.group(2) != "Smith-Jones" and m.group(3) != "O'Neil"
+    assert got[2].text == f"Mr. {given.upper()} {family.upper()} signed."
+    assert got[3].text == texts[3] and got[3]._entities == 0
+    assert all("Ѐ" <= c <= "ӿ" for c in got[4].text[4:].replace(" ", ""))
+
+
+def test_pii_domains_stay_distinct(spark):
+    hosts = [f"{a}.org" for a in "abcdefghijklmnopqrstuvwxyz"] + [f"{a}.net" for a in "abc"]
+    docs = spark.createDataFrame([(i, f"write to me@{h} or you@{h.upper()} now") for i, h in enumerate(hosts)], "doc_id int, text string")
+    got = {r.doc_id: re.findall(r"(\S+)@(\S+)", r.text) for r in pii.pseudonymise(docs, "k").collect()}
+    new = [got[i][0][1].lower() for i in range(len(hosts))]
+    assert len(set(new)) == len(hosts) and not set(new) & set(hosts)
+    assert all(got[i][1][1].lower() == new[i] and new[i].endswith(h[1:]) for i, h in enumerate(hosts))
+
+
 def alphabetic(i, letters="abcdefghij"):
     return "".join(letters[int(c)] for c in f"{i:05d}")
 
