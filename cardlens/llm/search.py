@@ -16,8 +16,9 @@ both terms, their joint impacts and the largest of them. A block is then searche
   the documents of its intersection list, not those of the two postings.
 * The rest is looked up only for the candidates that the remaining bounds still let in.
 
-A sixteenth of the blocks is searched first; the k-th best scores found there are the thresholds
-for all others, so most blocks end at their bounds. Skipping is by bounds alone; results are exact.
+Blocks are searched in waves: one in 4,096 (by hash), one in 256, one in 16, the rest. The k-th best
+scores found so far are a wave's thresholds, so most blocks end at their bounds, and a wave hands on about
+16 k documents a query, however many blocks it has. Skipping is by bounds alone; results are exact.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ BLOCK_DOCS = 4096
 BLOCK_BYTES = 16 << 20
 #: Queries are answered in batches of about so many terms (all of a batch's queries travel to every task).
 BATCH_TERMS = 100_000
-#: One block in so many is searched for the first thresholds.
-FIRST_BLOCKS = 16
+#: One block in so many belongs to the first wave, or to one of the first two, and so on.
+WAVES = (4096, 256, 16, 1)
 
 POSTINGS = "block long, term binary, docs array<int>, counts array<int>, df int"
 POSTINGS_ARROW = pa.schema([("block", pa.int64()), ("term", pa.binary()), ("docs", pa.list_(pa.int32())),
@@ -310,20 +311,24 @@ def _answer(index: Index, weighted: DataFrame, batch: tuple, k: int) -> DataFram
     ready_lists = materialise(
         lists.select("block", "term", F.col("docs").cast("array<long>").alias("docs"), "counts").union(heads)
         .groupBy("block").applyInArrow(_scored_lists(shared, index.n_docs, index.n_terms), LISTS), "search-lists")
-    items_of = spark.sparkContext.broadcast(order)
 
-    def best(blocks: DataFrame, least: list[int]) -> DataFrame:
+    digits = F.pmod(F.xxhash64("block"), F.lit(WAVES[0]))
+    found, least = None, [1] * len(order)
+    for before, wave in zip((None, *WAVES), WAVES):
+        these = (digits % wave == 0) if before is None else (digits % wave == 0) & (digits % before != 0)
+        blocks = ready_lists.where(these)
+        if wave > 1 and blocks.isEmpty():
+            continue
         floors = spark.sparkContext.broadcast(least)
-        top = materialise(blocks.groupBy("block").applyInArrow(_searched(shared, floors, items_of, k), FOUND), "search-found")
-        return top
-
-    first = F.pmod(F.xxhash64("block"), F.lit(FIRST_BLOCKS)) == 0
-    some = best(ready_lists.where(first), [1] * len(order))
-    reached = {r.item: r.least for r in _ranked(some, k).where(F.col("rank") == k)
-               .select("item", F.col("score").alias("least")).collect()}  # one row a query of the batch
-    rest = best(ready_lists.where(~first), [reached.get(i, 1) for i in range(len(order))])
+        part = materialise(blocks.groupBy("block").applyInArrow(_searched(shared, floors, k), FOUND), "search-found")
+        # only the k best so far go on
+        found = materialise(_ranked(part if found is None else found.union(part), k).drop("rank"), "search-best")
+        if wave > 1:
+            kth = found.groupBy("item").agg(F.count("*").alias("n"), F.min("score").alias("least"))  # one row a query
+            reached = {r.item: r.least for r in kth.where(F.col("n") == k).collect()}
+            least = [reached.get(i, 1) for i in range(len(order))]
     names = spark.createDataFrame(list(enumerate(order)), "item int, item_id long")
-    return (_ranked(some.union(rest), k).join(F.broadcast(names), "item")
+    return (_ranked(found, k).join(F.broadcast(names), "item")
             .select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
 
 
@@ -370,7 +375,7 @@ def _scored_lists(shared, n_docs: int, n_terms: int):
     return run
 
 
-def _searched(shared, floors, items, k: int):
+def _searched(shared, floors, k: int):
     """For each block: the documents that can be among the ``k`` best of a query (item is its number)."""
 
     def run(rows: pa.Table) -> pa.Table:
