@@ -102,3 +102,23 @@ def test_success_rate_v8(spark):
         .withColumn("billing_amt", F.lit(0.0))
     r = tf.transaction_features_uncapped(df).first()
     assert r.payment_success_rate == 0.75
+
+
+def test_quantiles_order_only_the_values_near_the_wanted_ranks(spark, monkeypatch):
+    """Of many distinct values, those between the bounds alone are shuffled; NaN, NULL and infinities keep their places."""
+    import numpy as np
+
+    spans, plain = [], ordered._values_at_ranks
+    monkeypatch.setattr(ordered, "_values_at_ranks", lambda df, s, r: spans.append(s) or plain(df, s, r))
+    n = 50_000
+    a = [float((i * 7919) % 49_999) / 3 for i in range(n)]
+    b = [None if i % 7 == 0 else float("nan") if i % 7 == 1 else float("inf") if i == 2 else -a[i] for i in range(n)]
+    df = spark.createDataFrame(list(zip(a, b, strict=True)), "a double, b double")
+    got = ordered.exact_quantiles(df, ["a", "b"], [0.5, 0.99])
+    kept = [np.array(a), np.array([v for v in b if v is not None and v == v])]
+    assert len(spans) == 1  # no second try
+    for i, (c, v) in enumerate(zip("ab", kept, strict=True)):
+        for j, p in enumerate((0.5, 0.99)):
+            assert got[c][p] == pytest.approx(float(np.quantile(v, p)), rel=1e-12)
+            low, high = spans[0][i, j]
+            assert ((v >= low) & (v <= high)).mean() < 0.002
