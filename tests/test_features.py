@@ -122,3 +122,18 @@ def test_quantiles_order_only_the_values_near_the_wanted_ranks(spark, monkeypatc
             assert got[c][p] == pytest.approx(float(np.quantile(v, p)), rel=1e-12)
             low, high = spans[0][i, j]
             assert ((v >= low) & (v <= high)).mean() < 0.002
+
+
+def test_transaction_features_evaluate_their_source_once(spark):
+    """The cap and the aggregate read the written columns, not the source's rows a second time."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    t = _txn(spark, [(i % 3, float(i), "818", "N", "m", "1", None) for i in range(40)])
+    out = tf.transaction_features(t.mapInArrow(counted, t.schema), as_of="2001-12-31").collect()
+    assert sum(r.txn_count for r in out) == 40
+    assert seen.value == 40
