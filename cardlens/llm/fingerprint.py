@@ -36,19 +36,24 @@ _NO_ID = -(1 << 63)  # stands for a NULL doc_id, which sorts first
 
 
 def _let(name: str, value: str, body: str) -> str:
-    """``body`` with ``name`` evaluated once."""
-    return f"transform(array({value}), {name} -> {body})[0]"
+    """``body`` with ``name`` evaluated once.
+
+    The finish of an aggregate over no elements: unlike ``transform``, it does not copy what ``body`` returns,
+    and these lets are nested ten deep around arrays of structs.
+    """
+    return f"aggregate(cast(array() as array<int>), {value}, (same, none) -> same, {name} -> {body})"
 
 
 def keys_of(text: str, words: int) -> str:
     """SQL: sorted distinct piece digests of a text expression."""
     piece = r"\\S+(?:[^\\S\\n]+\\S+){0,%d}" % (words - 1)
-    return f"array_sort(array_distinct(transform(regexp_extract_all({text}, '{piece}', 0), p -> xxhash64(p))))"
+    return f"sort_array(array_distinct(transform(regexp_extract_all({text}, '{piece}', 0), p -> xxhash64(p))))"
 
 
 #: Bit i of a key's mask stands for cell i: one bit in each row of cells.
 _MASKS = "array(" + ", ".join(str(1 << i) for i in range(CELLS)) + ")"
 _KEY = "struct<k:bigint,s:int,g:int,m:int>"
+_NO_KEYS = f"cast(array() as array<{_KEY}>)"
 
 
 def _key(k: str, sign: str) -> str:
@@ -60,9 +65,8 @@ def _key(k: str, sign: str) -> str:
 
 def sketch(signed: str) -> str:
     """SQL: the cells of an array of signed keys (see ``_key``)."""
-    return (f"transform({_MASKS}, i -> aggregate(filter({signed}, x -> (x.m & i) <> 0), "
-            "named_struct('c', 0, 'k', 0L, 'h', 0), "
-            "(a, x) -> named_struct('c', a.c + x.s, 'k', a.k ^ x.k, 'h', a.h ^ x.g)))")
+    return (f"transform({_MASKS}, i -> aggregate({signed}, named_struct('c', 0, 'k', 0L, 'h', 0), "
+            "(a, x) -> if((x.m & i) = 0, a, named_struct('c', a.c + x.s, 'k', a.k ^ x.k, 'h', a.h ^ x.g))))")
 
 
 def subtract(a: str, b: str) -> str:
@@ -72,10 +76,12 @@ def subtract(a: str, b: str) -> str:
 
 def peel(cells: str) -> str:
     """SQL: struct(ok, d): whether all differing keys came out, and how many did."""
-    pure = ("array_distinct(transform(filter(st.cells, z -> (z.c = 1 OR z.c = -1) AND hash(z.k) = z.h), "
-            f"z -> {_key('z.k', 'z.c')}))")
-    without = (f"zip_with(st.cells, {_MASKS}, (z, i) -> aggregate(filter(pure, p -> (p.m & i) <> 0), z, "
-               "(y, p) -> named_struct('c', y.c - p.s, 'k', y.k ^ p.k, 'h', y.h ^ p.g)))")
+    pure = ("transform(array_distinct(transform(filter(st.cells, z -> abs(z.c) = 1 AND hash(z.k) = z.h), "
+            f"z -> named_struct('k', z.k, 's', z.c))), p -> {_key('p.k', 'p.s')})")
+    # most rounds leave most cells as they are: only those of a recovered key are built again
+    without = (f"zip_with(st.cells, {_MASKS}, (z, i) -> if((touched & i) = 0, z, aggregate(pure, z, "
+               "(y, p) -> if((p.m & i) = 0, y, named_struct('c', y.c - p.s, 'k', y.k ^ p.k, 'h', y.h ^ p.g)))))")
+    without = _let("touched", "aggregate(pure, 0, (m, p) -> m | p.m)", without)
     step = _let("pure", pure, "if(size(pure) = 0, named_struct('cells', st.cells, 'd', st.d, 'go', false), "
                               f"named_struct('cells', {without}, 'd', st.d + size(pure), 'go', true))")
     run = (f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'd', 0, 'go', true), "
@@ -89,28 +95,23 @@ def rendered(cells: str) -> str:
             "lpad(right(hex(z.h), 8), 8, '0'))), '')")
 
 
-def _blocks(signed: str, per_block: int) -> str:
-    """SQL: the signed keys of both versions, dealt to blocks by their first bits: an array of arrays."""
+def _blocks(signed: str, per_block: int, each: str) -> str:
+    """SQL: ``each`` of the array ``ks`` of a block's keys, for the signed keys of both versions dealt to blocks by their first bits."""
     bits = f"greatest(0, cast(ceil(log2(greatest(1, size(sk)) / {per_block}D)) as int))"
-    block = "if(j = 0, 0L, shiftrightunsigned(x.k, 64 - j))"
-    tagged = f"array_sort(transform(sk, x -> named_struct('b', {block}, 'x', x)))"
-    # sorted by block: one walk collects each run
-    walk = (f"aggregate(t, named_struct('b', -1L, 'run', cast(array() as array<{_KEY}>), "
-            f"'done', cast(array() as array<array<{_KEY}>>)), "
-            "(a, y) -> if(a.b = y.b, "
-            "named_struct('b', a.b, 'run', array_append(a.run, y.x), 'done', a.done), "
-            "named_struct('b', y.b, 'run', array(y.x), 'done', array_append(a.done, a.run))), "
-            "a -> array_append(a.done, a.run))")
-    return _let("sk", signed, _let("j", bits, _let("t", tagged, walk)))
+    block = lambda k: f"shiftrightunsigned({k}, 64 - j)"
+    # sorted by key, flat, so a block is one run: its first positions, then one slice for each
+    first = f"(x, i) -> if(i = 0 OR (j > 0 AND {block('x.k')} <> {block('t[i - 1].k')}), i, -1)"
+    runs = (f"transform(at, (p, n) -> {_let('ks', 'slice(t, p + 1, coalesce(get(at, n + 1), size(t)) - p)', each)})")
+    return _let("sk", signed, _let("j", bits, _let("t", "sort_array(sk)", _let(
+        "at", f"filter(transform(t, {first}), p -> p >= 0)", runs))))
 
 
 def _large(signed: str, per_block: int = BLOCK_KEYS) -> str:
     """SQL: struct(d, bad): keys recovered from the blocks that peel, and the keys of those that don't."""
-    each = _let("cs", sketch("ks"), peel("cs"))
-    tried = f"transform({_blocks(signed, per_block)}, ks -> named_struct('r', {each}, 'ks', ks))"
-    return _let("bs", tried, (
-        "named_struct('d', aggregate(bs, 0L, (a, x) -> a + if(x.r.ok, x.r.d, 0)), "
-        "'bad', flatten(transform(filter(bs, x -> NOT x.r.ok), x -> x.ks)))"))
+    each = _let("cs", sketch("ks"), _let("r", peel("cs"), (
+        f"if(r.ok, named_struct('d', r.d, 'bad', {_NO_KEYS}), named_struct('d', 0, 'bad', ks))")))
+    return _let("bs", _blocks(signed, per_block, each), (
+        "named_struct('d', aggregate(bs, 0L, (a, x) -> a + x.d), 'bad', flatten(transform(bs, x -> x.bad)))"))
 
 
 def _signed(plus: str, minus: str) -> str:
@@ -124,9 +125,8 @@ def compare(only: str, cells: str) -> str:
 
     Peeling empties a cell for each key, so more keys than cells go to the larger sketch at once.
     """
-    none = f"cast(array() as array<{_KEY}>)"
     small = f"if(size({only}) > {CELLS}, named_struct('ok', false, 'd', 0), {peel(cells)})"
-    return _let("r", small, f"if(r.ok, named_struct('d', cast(r.d as bigint), 'bad', {none}), {_large(only)})")
+    return _let("r", small, f"if(r.ok, named_struct('d', cast(r.d as bigint), 'bad', {_NO_KEYS}), {_large(only)})")
 
 
 def _likeness(a: str, b: str, d: str) -> str:

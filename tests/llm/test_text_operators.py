@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -266,6 +267,19 @@ def test_fingerprint_query_sees_what_short_texts_share(spark, tmp_path):
     assert [r.near_edited for r in got] == [pytest.approx(1 / 3)] * 6 and all(r.near_next == 0 for r in got)
 
 
+def test_fingerprint_of_one_long_text_grows_with_its_keys(spark):
+    """48,000 differing keys of one row; blocks gathered key by key copied each other for half a minute."""
+    def took(n):
+        keys = f"transform(sequence(1, cast(id as int)), i -> {fingerprint._key('xxhash64(i)', '1')})"
+        began = time.time()
+        got = spark.range(n, n + 1).selectExpr(f"{fingerprint._large(keys)} AS v").select("v.d", "v.bad").first()
+        assert got.d + len(got.bad) == n and len({x.k for x in got.bad}) == len(got.bad) < n / 4
+        return time.time() - began
+
+    assert took(1) and took(200)  # warm
+    assert took(48_000) < 10
+
+
 def test_fingerprint_is_native(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     plan = fingerprint.versions(docs)._jdf.queryExecution().executedPlan().toString()
