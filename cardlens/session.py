@@ -17,6 +17,10 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of a row group of written intermediate tables, about.
+ROW_GROUP_BYTES = 8 << 20
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app_name: str = "cardlens") -> SparkSession:
     """A local-mode session with AQE on and the UI off (tests, bench)."""
@@ -115,10 +119,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame into the shared folder and read it back.
 
     A join against the files shuffles both sides, so AQE can split a hot key
-    of the other side; against an aggregate it cannot.
+    of the other side; against an aggregate it cannot.  Row groups are small, so
+    a table that few tasks wrote is still read by as many as there are cores.
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
